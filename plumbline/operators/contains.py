@@ -12,6 +12,7 @@ rarest gram keeps prefixes common to all tags ("customer#") from pairing everyth
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,7 @@ from plumbline.functions.text import strip, tags
 from plumbline.operators.skew import COUNT, HEAVY_ROWS, spread_join
 
 GRAM_LENGTHS = (1, 3, 6, 12)  # a tag is looked up by the longest of these that fits into it
+MAX_BROADCAST_GRAMS = 1_000_000  # 8 bytes each; beyond it the lookup is a shuffle join
 CHUNK = 256  # substring() walks from the start of its input, so long texts are cut first
 
 LEFT, RIGHT = "__left_digest", "__right_digest"
@@ -36,40 +38,34 @@ def _distinct_values(df: DataFrame, column: str, digest: str) -> DataFrame:
     )
 
 
-def _pieces(text: Column, size: Column | int, step: int, until: Column) -> Column:
-    return F.transform(
-        F.sequence(F.lit(1), until, F.lit(step)), lambda at: F.substring(text, at, size)
-    )
-
-
 def _gram_length(tag: Column) -> Column:
     fitting = [F.when(F.length(tag) >= n, n) for n in sorted(GRAM_LENGTHS, reverse=True)]
     return F.coalesce(*fitting)
 
 
-def _reference_grams(refs: DataFrame, ref_id: str) -> DataFrame:
-    """Distinct (gram, ref_id) for every gram length."""
+def _grams(text: Column, size: int, count: Column) -> Column:
+    """The first `count` grams of `text`, hashed; equal hashes are verified on the texts later."""
+    return F.transform(F.sequence(F.lit(1), count), lambda at: F.xxhash64(F.substring(text, at, F.lit(size))))
+
+
+def _reference_grams(refs: DataFrame, lengths: Sequence[int]) -> DataFrame:
+    """(ref, gram) for the gram lengths in use; within a chunk of text each gram comes once."""
     overlap = max(GRAM_LENGTHS) - 1
+    starts = F.sequence(F.lit(1), F.length("__ref"), F.lit(CHUNK))
     chunks = refs.where(F.length("__ref") > 0).select(
-        ref_id,
+        "__ref_digest",
         F.explode(
-            _pieces(F.col("__ref"), F.lit(CHUNK + overlap), CHUNK, F.length("__ref"))
+            F.transform(starts, lambda at: F.substring("__ref", at, F.lit(CHUNK + overlap)))
         ).alias("__chunk"),
     )
+    size = F.length("__chunk")
     per_length = [
-        F.when(
-            F.length("__chunk") >= n,
-            _pieces(
-                F.col("__chunk"),
-                F.lit(n),
-                1,
-                F.least(F.lit(CHUNK), F.length("__chunk") - (n - 1)),
-            ),
-        ).otherwise(F.array().cast("array<string>"))
-        for n in GRAM_LENGTHS
+        F.when(size >= n, _grams(F.col("__chunk"), n, F.least(F.lit(CHUNK), size - (n - 1)))).otherwise(
+            F.array().cast("array<bigint>")
+        )
+        for n in lengths
     ]
-    grams = F.array_distinct(F.concat(*per_length))
-    return chunks.select(ref_id, F.explode(grams).alias("__gram")).distinct()
+    return chunks.select("__ref_digest", F.explode(F.array_distinct(F.concat(*per_length))).alias("__gram"))
 
 
 def matching_values(
@@ -78,8 +74,12 @@ def matching_values(
     ref_side: DataFrame,
     ref_column: str,
     heavy_rows: int = HEAVY_ROWS,
+    max_broadcast: int = MAX_BROADCAST_GRAMS,
 ) -> DataFrame:
-    """Distinct (`__tag_digest`, `__ref_digest`) of values where some tag is inside the reference."""
+    """Distinct (`__tag_digest`, `__ref_digest`) of values where some tag is inside the reference.
+
+    One action on the tag side finds the gram lengths in use and how many grams there are.
+    """
     values = _distinct_values(tag_side, tag_column, "__tag_digest")
     value_tags = values.select("__tag_digest", F.explode(tags(F.col("__value"))).alias("__tag"))
     refs = _distinct_values(ref_side, ref_column, "__ref_digest").select(
@@ -87,18 +87,22 @@ def matching_values(
     )
 
     tag_set = value_tags.select("__tag").distinct().withColumn("__len", _gram_length(F.col("__tag")))
-    tag_grams = tag_set.select(
-        "__tag",
-        F.explode(
-            F.array_distinct(
-                _pieces(F.col("__tag"), F.col("__len"), 1, F.length("__tag") - F.col("__len") + 1)
-            )
-        ).alias("__gram"),
-    )
-    # Only grams that some tag has can lead to a match.
-    ref_grams = _reference_grams(refs, "__ref_digest").join(
-        tag_grams.select("__gram").distinct(), "__gram", "left_semi"
-    )
+    per_length = F.array()
+    for n in GRAM_LENGTHS:
+        mine = _grams(F.col("__tag"), n, F.length("__tag") - (n - 1))
+        per_length = F.when(F.col("__len") == n, mine).otherwise(per_length)
+    tag_grams = tag_set.select("__tag", "__len", F.explode(F.array_distinct(per_length)).alias("__gram"))
+
+    used = tag_grams.agg(
+        F.collect_set("__len").alias("lengths"), F.count(F.lit(1)).alias("grams")
+    ).first()
+    wanted = tag_grams.select("__gram").distinct()
+    ref_grams = _reference_grams(refs, sorted(used["lengths"]) or [1])
+    # Only grams that some tag has can lead to a match. If they are few, as just counted, they are
+    # sent to the references, and most grams of a long text never reach a shuffle.
+    if used["grams"] <= max_broadcast:
+        wanted = F.broadcast(wanted)
+    ref_grams = ref_grams.join(wanted, "__gram", "left_semi").distinct()
     frequency = ref_grams.groupBy("__gram").agg(F.count(F.lit(1)).alias(COUNT))
     rarest = (
         tag_grams.join(frequency, "__gram", "left")
