@@ -2,7 +2,7 @@
 
 The condition is no equality, so Spark alone would compare every pair of rows. Instead:
 
-* only distinct values take part, by digest, so a hot value or a long text is handled once;
+* results are kept per distinct value, by digest, so hot values and long texts stay out of shuffles;
 * each reference text is cut into character grams, each tag is looked up by the gram of it that is
   rarest among the references, and only the (tag, reference) pairs sharing that gram are verified.
 
@@ -22,7 +22,7 @@ from plumbline.functions.text import strip, tags
 from plumbline.operators.skew import COUNT, HEAVY_ROWS, spread_join
 
 GRAM_LENGTHS = (1, 3, 6, 12)  # a tag is looked up by the longest of these that fits into it
-MAX_BROADCAST_GRAMS = 1_000_000  # 8 bytes each; beyond it the lookup is a shuffle join
+MAX_BROADCAST_GRAMS = 1_000_000  # checked by a count; beyond it the lookup is a shuffle join
 CHUNK = 256  # substring() walks from the start of its input, so long texts are cut first
 
 LEFT, RIGHT = "__left_digest", "__right_digest"
@@ -32,12 +32,6 @@ def _digest(column: str) -> Column:
     return F.unhex(F.sha2(F.col(column).cast("string"), 256))
 
 
-def _distinct_values(df: DataFrame, column: str, digest: str) -> DataFrame:
-    return df.select(F.col(column).cast("string").alias("__value")).where("__value is not null").distinct().select(
-        _digest("__value").alias(digest), "__value"
-    )
-
-
 def _gram_length(tag: Column) -> Column:
     fitting = [F.when(F.length(tag) >= n, n) for n in sorted(GRAM_LENGTHS, reverse=True)]
     return F.coalesce(*fitting)
@@ -49,11 +43,11 @@ def _grams(text: Column, size: int, count: Column) -> Column:
 
 
 def _reference_grams(refs: DataFrame, lengths: Sequence[int]) -> DataFrame:
-    """(ref, gram) for the gram lengths in use; within a chunk of text each gram comes once."""
+    """`refs` unfolded to one row per gram of the lengths in use, each once per chunk of text."""
     overlap = max(GRAM_LENGTHS) - 1
     starts = F.sequence(F.lit(1), F.length("__ref"), F.lit(CHUNK))
     chunks = refs.where(F.length("__ref") > 0).select(
-        "__ref_digest",
+        *refs.columns,
         F.explode(
             F.transform(starts, lambda at: F.substring("__ref", at, F.lit(CHUNK + overlap)))
         ).alias("__chunk"),
@@ -65,7 +59,54 @@ def _reference_grams(refs: DataFrame, lengths: Sequence[int]) -> DataFrame:
         )
         for n in lengths
     ]
-    return chunks.select("__ref_digest", F.explode(F.array_distinct(F.concat(*per_length))).alias("__gram"))
+    grams = per_length[0] if len(per_length) == 1 else F.concat(*per_length)
+    return chunks.select(*refs.columns, F.explode(F.array_distinct(grams)).alias("__gram"))
+
+
+def _rarest(tag_grams: DataFrame, frequency: DataFrame) -> DataFrame:
+    """(tag, gram): the gram of each tag with the fewest references; tags with an unseen gram drop out."""
+    rank = F.struct(F.coalesce(F.col(COUNT), F.lit(0)).alias("n"), F.col("__gram"))
+    return (
+        tag_grams.join(frequency, "__gram", "left")
+        .groupBy("__tag")
+        .agg(F.min(rank).alias("m"))
+        .where("m.n > 0")
+        .select("__tag", F.col("m.__gram").alias("__gram"))
+    )
+
+
+def _matches_of_few_tags(refs: DataFrame, tag_grams: DataFrame, lengths: Sequence[int]) -> DataFrame:
+    """The tags travel to the references: texts are cut, looked up and verified where they are read."""
+    wanted = F.broadcast(tag_grams.select("__gram").distinct())
+    seen = _reference_grams(refs.select("__ref"), lengths).join(wanted, "__gram", "left_semi")
+    frequency = seen.groupBy("__gram").agg(F.count(F.lit(1)).alias(COUNT))
+    lookup = F.broadcast(_rarest(tag_grams, frequency))
+    found = _reference_grams(refs, lengths).join(lookup, "__gram")
+    return found.where(F.contains(F.col("__ref"), F.col("__tag"))).select("__tag", "__ref_digest").distinct()
+
+
+def _matches_of_many_tags(
+    refs: DataFrame, tag_grams: DataFrame, lengths: Sequence[int], heavy_rows: int
+) -> DataFrame:
+    """Both sides meet on the gram in a shuffle; each distinct text is then verified by its digest."""
+    refs = refs.distinct()
+    wanted = tag_grams.select("__gram").distinct()
+    ref_grams = (
+        _reference_grams(refs, lengths)
+        .select("__ref_digest", "__gram")
+        .join(wanted, "__gram", "left_semi")
+        .distinct()
+    )
+    frequency = ref_grams.groupBy("__gram").agg(F.count(F.lit(1)).alias(COUNT))
+    candidates = spread_join(
+        ref_grams, _rarest(tag_grams, frequency), ["__gram"], frequency, ["__ref_digest"],
+        heavy_rows=heavy_rows,
+    ).select("__tag", "__ref_digest")
+    return (
+        candidates.join(refs, "__ref_digest")
+        .where(F.contains(F.col("__ref"), F.col("__tag")))
+        .select("__tag", "__ref_digest")
+    )
 
 
 def matching_values(
@@ -78,12 +119,17 @@ def matching_values(
 ) -> DataFrame:
     """Distinct (`__tag_digest`, `__ref_digest`) of values where some tag is inside the reference.
 
-    One action on the tag side finds the gram lengths in use and how many grams there are.
+    One action on the tag side finds the gram lengths in use and how many grams there are; that
+    number decides whether the tags can be broadcast.
     """
-    values = _distinct_values(tag_side, tag_column, "__tag_digest")
-    value_tags = values.select("__tag_digest", F.explode(tags(F.col("__value"))).alias("__tag"))
-    refs = _distinct_values(ref_side, ref_column, "__ref_digest").select(
-        "__ref_digest", strip(F.lower("__value")).alias("__ref")
+    value_tags = (
+        tag_side.select(F.col(tag_column).cast("string").alias("__value"))
+        .select(_digest("__value").alias("__tag_digest"), F.explode(tags(F.col("__value"))).alias("__tag"))
+        .distinct()
+    )
+    refs = ref_side.select(
+        _digest(ref_column).alias("__ref_digest"),
+        strip(F.lower(F.col(ref_column).cast("string"))).alias("__ref"),
     )
 
     tag_set = value_tags.select("__tag").distinct().withColumn("__len", _gram_length(F.col("__tag")))
@@ -96,29 +142,12 @@ def matching_values(
     used = tag_grams.agg(
         F.collect_set("__len").alias("lengths"), F.count(F.lit(1)).alias("grams")
     ).first()
-    wanted = tag_grams.select("__gram").distinct()
-    ref_grams = _reference_grams(refs, sorted(used["lengths"]) or [1])
-    # Only grams that some tag has can lead to a match. If they are few, as just counted, they are
-    # sent to the references, and most grams of a long text never reach a shuffle.
+    lengths = sorted(used["lengths"]) or [GRAM_LENGTHS[0]]
+    tag_grams = tag_grams.drop("__len")
     if used["grams"] <= max_broadcast:
-        wanted = F.broadcast(wanted)
-    ref_grams = ref_grams.join(wanted, "__gram", "left_semi").distinct()
-    frequency = ref_grams.groupBy("__gram").agg(F.count(F.lit(1)).alias(COUNT))
-    rarest = (
-        tag_grams.join(frequency, "__gram", "left")
-        .groupBy("__tag")
-        .agg(F.min(F.struct(F.coalesce(F.col(COUNT), F.lit(0)).alias("n"), F.col("__gram"))).alias("m"))
-        .where("m.n > 0")
-        .select("__tag", F.col("m.__gram").alias("__gram"))
-    )
-    candidates = spread_join(
-        ref_grams, rarest, ["__gram"], frequency, ["__ref_digest"], heavy_rows=heavy_rows
-    ).select("__tag", "__ref_digest")
-    matched = (
-        candidates.join(refs, "__ref_digest")
-        .where(F.contains(F.col("__ref"), F.col("__tag")))
-        .select("__tag", "__ref_digest")
-    )
+        matched = _matches_of_few_tags(refs, tag_grams, lengths)
+    else:
+        matched = _matches_of_many_tags(refs, tag_grams, lengths, heavy_rows)
     return value_tags.join(matched, "__tag").select("__tag_digest", "__ref_digest").distinct()
 
 

@@ -27,7 +27,8 @@ def _bucket(value: Column, bounds: Sequence[float]) -> Column:
     coarse = F.lit(0)
     for group in groups[1:]:
         coarse = coarse + F.when(value > group[0], 1).otherwise(0)
-    table = F.array(*(F.array(*(F.lit(b) for b in group)) for group in groups))
+    # One SQL text instead of hundreds of literal calls into the JVM; repr() keeps every digit.
+    table = F.expr(f"array({', '.join('array(' + ', '.join(f'{b!r}D' for b in g) + ')' for g in groups)})")
     fine = F.size(F.filter(F.element_at(table, coarse + 1), lambda b: b < value))
     return coarse * GROUP + fine
 
@@ -68,7 +69,7 @@ def exact_quantiles(
     ends = list(accumulate(sizes.get(i, 0) for i in ids))  # rows up to and including bucket i
 
     # Rank h = (n - 1) p lies between two order statistics, weighted by its fraction.
-    picks: dict[int, list[tuple[str, int, float]]] = {}
+    picks: dict[int, list[tuple[float, int, float]]] = {}
     for name, p in zip(probabilities, wanted):
         rank = (n - 1) * p
         low = int(rank)
@@ -77,21 +78,19 @@ def exact_quantiles(
             if share:
                 bucket = bisect_right(ends, place)
                 before = ends[bucket - 1] if bucket else 0
-                picks.setdefault(bucket, []).append((str(name), place - before, share))
-
-    entry = "struct<p:string,place:bigint,share:double>"
-    lookup = F.create_map(
-        *(
-            item
-            for bucket, entries in sorted(picks.items())
-            for item in (
-                F.lit(bucket),
-                F.array(
-                    *(F.struct(F.lit(p), F.lit(place).cast("bigint"), F.lit(share)).cast(entry)
-                      for p, place, share in entries)
-                ),
+                picks.setdefault(bucket, []).append((float(name), place - before, share))
+
+    lookup = F.expr(
+        "map("
+        + ", ".join(
+            f"{bucket}, array("
+            + ", ".join(
+                f"named_struct('p', {p}D, 'place', {place}L, 'share', {share!r}D)" for p, place, share in entries
             )
+            + ")"
+            for bucket, entries in sorted(picks.items())
         )
+        + ")"
     )
     # A value held by many rows is one record here, so no bracket can outgrow its task.
     ranked = (
@@ -109,7 +108,7 @@ def exact_quantiles(
             )
         ).alias("e"),
     )
-    return chosen.groupBy(F.col("e.p").cast("double").alias("probability")).agg(
+    return chosen.groupBy(F.col("e.p").alias("probability")).agg(
         F.sum(F.col("v") * F.col("e.share")).alias("quantile")
     )
 
