@@ -13,58 +13,55 @@ from plumbline.operators.skew import COUNT, HEAVY_ROWS, spread_join
 from plumbline.session import checkpoint
 
 
-def _with_least(edges: DataFrame, least: DataFrame, heavy_rows: int) -> DataFrame:
+def _with_least(edges: DataFrame, least: DataFrame, heavy_rows: int | None) -> DataFrame:
     """Join the least neighbour of `u` to its edges; a hub's edges are spread over many tasks."""
+    if heavy_rows is None:
+        return edges.join(least.select("u", "m"), "u")
     return spread_join(edges, least.select("u", "m"), ["u"], least, ["v"], heavy_rows=heavy_rows)
 
 
-def _distinct(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u", "v").agg(F.bool_or("changed").alias("changed"))
-
-
-def _large_star(pairs: DataFrame, heavy_rows: int) -> DataFrame:
+def _large_star(pairs: DataFrame, heavy_rows: int | None) -> DataFrame:
     """Every node ties its greater neighbours to the least node around it."""
-    both = pairs.select("u", "v").unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(
         F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias(COUNT)
     )
     tied = _with_least(both.where("v > u"), least, heavy_rows)
-    return _distinct(
-        tied.select(F.col("v").alias("u"), F.col("m").alias("v"), (F.col("m") != F.col("u")).alias("changed"))
-    )
+    return tied.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(pairs: DataFrame, heavy_rows: int) -> DataFrame:
+def _small_star(pairs: DataFrame, heavy_rows: int | None) -> DataFrame:
     """Every node ties itself and its smaller neighbours to the least of them."""
     least = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias(COUNT))
     tied = _with_least(pairs, least, heavy_rows)
-    moved = F.col("v") != F.col("m")
-    ends = F.when(
-        moved,
-        F.array(
-            F.struct(F.col("v").alias("u"), F.col("m").alias("v"), F.lit(True).alias("changed")),
-            F.struct(F.col("u").alias("u"), F.col("m").alias("v"), F.lit(True).alias("changed")),
-        ),
-    ).otherwise(
-        F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v"), F.col("changed").alias("changed")))
+    ends = F.array(F.col("u"), F.col("v"))
+    return tied.select(F.explode(ends).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+
+
+def _is_star_forest(pairs: DataFrame) -> bool:
+    """Does each greater end have one edge, and is no smaller end a greater one elsewhere?"""
+    ends = pairs.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("in")).unionByName(
+        pairs.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("in"))
     )
-    return _distinct(tied.select(F.explode(ends).alias("e")).select("e.*"))
+    nodes = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("in").alias("in"))
+    return nodes.where("out > 1 or (out = 1 and in = 1)").isEmpty()
 
 
 def connected_components(
     edges: DataFrame, a: str, b: str, heavy_rows: int = HEAVY_ROWS, max_rounds: int = 200
 ) -> DataFrame:
     """(node, component) for every node on an edge; the component is named by its least node."""
-    nodes_ab = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-    alone = nodes_ab.where("u = v").select(F.col("u").alias("node"), F.col("v").alias("component"))
-    pairs = checkpoint(nodes_ab.where("u <> v").distinct().withColumn("changed", F.lit(True)))
+    ordered = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+    alone = ordered.where("u = v").select(F.col("u").alias("node"), F.col("v").alias("component"))
+    pairs = checkpoint(ordered.where("u <> v").distinct())
+    # Edges never grow in number: with few of them no hub can be heavy, and plain joins will do.
+    salt = heavy_rows if 2 * pairs.count() >= heavy_rows else None
     for _ in range(max_rounds):
-        if pairs.where("changed").isEmpty():
+        if _is_star_forest(pairs):
             break
-        pairs = checkpoint(_small_star(_large_star(pairs, heavy_rows), heavy_rows))
+        pairs = checkpoint(_small_star(_large_star(pairs, salt), salt))
     else:
         raise RuntimeError(f"no convergence within {max_rounds} rounds")
-    # Now a forest of stars: each u has one edge, to the least node of its component.
     leaves = pairs.select(F.col("u").alias("node"), F.col("v").alias("component"))
     centers = pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     linked = leaves.unionByName(centers)
