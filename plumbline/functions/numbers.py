@@ -6,17 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.text import WHITESPACE
+from plumbline.functions.text import without_blanks
 
 
 def parse_number(column: Column) -> Column:
     """Double of a value such as "16 800"; text that is no number raises under ANSI."""
-    return F.regexp_replace(column.cast("string"), WHITESPACE, "").cast("double")
+    return without_blanks(column.cast("string")).cast("double")
 
 
-def try_parse_number(column: Column) -> Column:
-    """As `parse_number`, but null for text that is no number."""
-    return F.regexp_replace(column.cast("string"), WHITESPACE, "").try_cast("double")
+def number(df: DataFrame, column: str, strict: bool = True) -> Column:
+    """`column` as double: a cast for numbers, blanks removed first for text.
+
+    Text that is no number raises under ANSI if `strict`, else becomes null.
+    """
+    value = F.col(column)
+    if not isinstance(df.schema[column].dataType, T.NumericType):
+        value = without_blanks(value.cast("string"))
+    return value.cast("double") if strict else value.try_cast("double")
 
 
 def is_finite(column: Column) -> Column:

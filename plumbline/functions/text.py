@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-WHITESPACE = r"(?U)\s+"
+# The characters of the Unicode property White_Space.
+WHITESPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 COMBINING_MARKS = "[\u0300-\u036f]"
 
 # Name, pattern of the parts of an address "City, 91000, 19 Street".
@@ -147,7 +148,12 @@ def compact_texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def strip(column: Column) -> Column:
     """Strip every Unicode blank at both ends (`trim` knows the space only)."""
-    return F.regexp_replace(column, r"(?U)^\s+|\s+\z", "")
+    return F.btrim(column, F.lit(WHITESPACE))
+
+
+def without_blanks(column: Column) -> Column:
+    """Remove every Unicode blank, also inside."""
+    return F.translate(column, WHITESPACE, "")
 
 
 def tags(column: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.numbers import parse_number
+from plumbline.functions.numbers import number
 from plumbline.functions.text import compact_texts, finds
 from plumbline.operators.skew import COUNT, HEAVY_ROWS, any_of, count_by, spread_join
 
@@ -96,7 +96,7 @@ def ordered(low: str, target: str, high: str) -> RowCheck:
     """low <= target <= high, blanks inside numbers allowed; a known violated half fails alone."""
 
     def flag(df: DataFrame) -> Column:
-        a, b, c = (parse_number(F.col(name)) for name in (low, target, high))
+        a, b, c = (number(df, name) for name in (low, target, high))
         return ~((a <= b) & (b <= c))
 
     return RowCheck(INTERVAL, f"{low}, {target}, {high}", (low, target, high), flag)

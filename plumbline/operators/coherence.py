@@ -33,7 +33,7 @@ MIN_COMPLETENESS = 0.8
 DETECTED = 0.5  # M1 above this makes (x, y) a candidate rule
 MAX_M2, MAX_M3 = 5.0, 10.0  # a candidate rule within both limits is respected
 TRIGRAM_DIMENSIONS = 4_096
-CHUNK = 256
+CHUNK = 64
 MAX_GROUPING_COLUMNS = 32  # grouping_id() is a 64-bit number
 
 

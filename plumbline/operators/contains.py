@@ -3,7 +3,7 @@
 The condition is no equality, so Spark alone would compare every pair of rows. Instead:
 
 * results are kept per distinct value, by digest, so hot values and long texts stay out of shuffles;
-* each reference text is cut into character grams, each tag is looked up by the gram of it that is
+* each reference text is cut into grams of bytes, each tag is looked up by the gram of it that is
   rarest among the references, and only the (tag, reference) pairs sharing that gram are verified.
 
 A tag inside a text has all its grams inside that text, so the lookup loses nothing; choosing the
@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from plumbline.functions.text import strip, tags
 from plumbline.operators.skew import COUNT, HEAVY_ROWS, spread_join
 
-GRAM_LENGTHS = (1, 3, 6, 12)  # a tag is looked up by the longest of these that fits into it
+GRAM_LENGTHS = (1, 3, 6, 12)  # bytes; a tag is looked up by the longest of these that fits into it
 MAX_BROADCAST_GRAMS = 1_000_000  # checked by a count; beyond it the lookup is a shuffle join
-CHUNK = 256  # substring() walks from the start of its input, so long texts are cut first
+CHUNK = 4_096  # bytes of a text whose grams are unfolded at a time
 
 LEFT, RIGHT = "__left_digest", "__right_digest"
 
@@ -33,26 +33,30 @@ def _digest(column: str) -> Column:
 
 
 def _gram_length(tag: Column) -> Column:
-    fitting = [F.when(F.length(tag) >= n, n) for n in sorted(GRAM_LENGTHS, reverse=True)]
+    fitting = [F.when(F.octet_length(tag) >= n, n) for n in sorted(GRAM_LENGTHS, reverse=True)]
     return F.coalesce(*fitting)
 
 
-def _grams(text: Column, size: int, count: Column) -> Column:
-    """The first `count` grams of `text`, hashed; equal hashes are verified on the texts later."""
-    return F.transform(F.sequence(F.lit(1), count), lambda at: F.xxhash64(F.substring(text, at, F.lit(size))))
+def _grams(data: Column, size: int, count: Column) -> Column:
+    """The first `count` grams of binary `data`, hashed; equal hashes are verified on the texts later.
+
+    In bytes, because substring() of binary data needs no walk over the characters before it.
+    """
+    return F.transform(F.sequence(F.lit(1), count), lambda at: F.xxhash64(F.substring(data, at, F.lit(size))))
 
 
 def _reference_grams(refs: DataFrame, lengths: Sequence[int]) -> DataFrame:
     """`refs` unfolded to one row per gram of the lengths in use, each once per chunk of text."""
     overlap = max(GRAM_LENGTHS) - 1
-    starts = F.sequence(F.lit(1), F.length("__ref"), F.lit(CHUNK))
-    chunks = refs.where(F.length("__ref") > 0).select(
+    data = F.col("__ref").cast("binary")
+    starts = F.sequence(F.lit(1), F.octet_length("__ref"), F.lit(CHUNK))
+    chunks = refs.where(F.octet_length("__ref") > 0).select(
         *refs.columns,
         F.explode(
-            F.transform(starts, lambda at: F.substring("__ref", at, F.lit(CHUNK + overlap)))
+            F.transform(starts, lambda at: F.substring(data, at, F.lit(CHUNK + overlap)))
         ).alias("__chunk"),
     )
-    size = F.length("__chunk")
+    size = F.octet_length("__chunk")
     per_length = [
         F.when(size >= n, _grams(F.col("__chunk"), n, F.least(F.lit(CHUNK), size - (n - 1)))).otherwise(
             F.array().cast("array<bigint>")
@@ -75,18 +79,20 @@ def _rarest(tag_grams: DataFrame, frequency: DataFrame) -> DataFrame:
     )
 
 
-def _matches_of_few_tags(refs: DataFrame, tag_grams: DataFrame, lengths: Sequence[int]) -> DataFrame:
+def _matches_of_few_tags(
+    refs: DataFrame, tag_grams: DataFrame, lengths: Sequence[int], out: Sequence[str]
+) -> DataFrame:
     """The tags travel to the references: texts are cut, looked up and verified where they are read."""
     wanted = F.broadcast(tag_grams.select("__gram").distinct())
     seen = _reference_grams(refs.select("__ref"), lengths).join(wanted, "__gram", "left_semi")
     frequency = seen.groupBy("__gram").agg(F.count(F.lit(1)).alias(COUNT))
     lookup = F.broadcast(_rarest(tag_grams, frequency))
     found = _reference_grams(refs, lengths).join(lookup, "__gram")
-    return found.where(F.contains(F.col("__ref"), F.col("__tag"))).select("__tag", "__ref_digest").distinct()
+    return found.where(F.contains(F.col("__ref"), F.col("__tag"))).select(*out).distinct()
 
 
 def _matches_of_many_tags(
-    refs: DataFrame, tag_grams: DataFrame, lengths: Sequence[int], heavy_rows: int
+    refs: DataFrame, tag_grams: DataFrame, lengths: Sequence[int], out: Sequence[str], heavy_rows: int
 ) -> DataFrame:
     """Both sides meet on the gram in a shuffle; each distinct text is then verified by its digest."""
     refs = refs.distinct()
@@ -105,19 +111,21 @@ def _matches_of_many_tags(
     return (
         candidates.join(refs, "__ref_digest")
         .where(F.contains(F.col("__ref"), F.col("__tag")))
-        .select("__tag", "__ref_digest")
+        .select(*out)
+        .distinct()
     )
 
 
-def matching_values(
+def _matched_tags(
     tag_side: DataFrame,
     tag_column: str,
     ref_side: DataFrame,
     ref_column: str,
-    heavy_rows: int = HEAVY_ROWS,
-    max_broadcast: int = MAX_BROADCAST_GRAMS,
+    out: Sequence[str],
+    heavy_rows: int,
+    max_broadcast: int,
 ) -> DataFrame:
-    """Distinct (`__tag_digest`, `__ref_digest`) of values where some tag is inside the reference.
+    """`__tag_digest` of each tag-side value with the columns `out` (`__tag`, perhaps `__ref_digest`) it matches.
 
     One action on the tag side finds the gram lengths in use and how many grams there are; that
     number decides whether the tags can be broadcast.
@@ -135,7 +143,7 @@ def matching_values(
     tag_set = value_tags.select("__tag").distinct().withColumn("__len", _gram_length(F.col("__tag")))
     per_length = F.array()
     for n in GRAM_LENGTHS:
-        mine = _grams(F.col("__tag"), n, F.length("__tag") - (n - 1))
+        mine = _grams(F.col("__tag").cast("binary"), n, F.octet_length("__tag") - (n - 1))
         per_length = F.when(F.col("__len") == n, mine).otherwise(per_length)
     tag_grams = tag_set.select("__tag", "__len", F.explode(F.array_distinct(per_length)).alias("__gram"))
 
@@ -145,10 +153,25 @@ def matching_values(
     lengths = sorted(used["lengths"]) or [GRAM_LENGTHS[0]]
     tag_grams = tag_grams.drop("__len")
     if used["grams"] <= max_broadcast:
-        matched = _matches_of_few_tags(refs, tag_grams, lengths)
+        matched = _matches_of_few_tags(refs, tag_grams, lengths, out)
     else:
-        matched = _matches_of_many_tags(refs, tag_grams, lengths, heavy_rows)
-    return value_tags.join(matched, "__tag").select("__tag_digest", "__ref_digest").distinct()
+        matched = _matches_of_many_tags(refs, tag_grams, lengths, out, heavy_rows)
+    return value_tags.join(matched, "__tag")
+
+
+def matching_values(
+    tag_side: DataFrame,
+    tag_column: str,
+    ref_side: DataFrame,
+    ref_column: str,
+    heavy_rows: int = HEAVY_ROWS,
+    max_broadcast: int = MAX_BROADCAST_GRAMS,
+) -> DataFrame:
+    """Distinct (`__tag_digest`, `__ref_digest`) of values where some tag is inside the reference."""
+    matched = _matched_tags(
+        tag_side, tag_column, ref_side, ref_column, ["__tag", "__ref_digest"], heavy_rows, max_broadcast
+    )
+    return matched.select("__tag_digest", "__ref_digest").distinct()
 
 
 def contains_join(
@@ -200,8 +223,16 @@ def _renamed(df: DataFrame, prefix: str, digest: Column) -> DataFrame:
 
 
 def has_match(
-    left: DataFrame, right: DataFrame, left_column: str, right_column: str
+    left: DataFrame,
+    right: DataFrame,
+    left_column: str,
+    right_column: str,
+    heavy_rows: int = HEAVY_ROWS,
+    max_broadcast: int = MAX_BROADCAST_GRAMS,
 ) -> DataFrame:
-    """Digests of the `left` values of which a tag lies inside some `right` value."""
-    pairs = matching_values(left, left_column, right, right_column)
-    return pairs.select("__tag_digest").distinct()
+    """`__tag_digest` of the `left` values of which a tag lies inside some `right` value.
+
+    Only tags leave the lookup, so a short tag found everywhere is one record and not one per text.
+    """
+    matched = _matched_tags(left, left_column, right, right_column, ["__tag"], heavy_rows, max_broadcast)
+    return matched.select("__tag_digest").distinct()

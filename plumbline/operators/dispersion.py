@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.numbers import parse_number
+from plumbline.functions.numbers import number
 from plumbline.operators.checks import run_timestamp
 
 DISPERSION_LIMIT = math.log(5)
@@ -103,9 +103,13 @@ def position_counts(
     A triplet is (min column, mean column, max column, lowest ratio, highest ratio).
     """
     counts, rows = [F.count(F.lit(1)).alias("total")], []
+    names = list(dict.fromkeys(name for triplet in triplets for name in triplet[:3]))
+    slots = {name: f"__v{i}" for i, name in enumerate(names)}
+    # Parsed in a projection of its own, so that each value is parsed once.
+    parsed = df.select(*(number(df, name).alias(slot) for name, slot in slots.items()))
     for i, (low_name, mean_name, high_name, lowest, highest) in enumerate(triplets):
         check_bounds(lowest, highest)
-        low, mean, high = (parse_number(F.col(c)) for c in (low_name, mean_name, high_name))
+        low, mean, high = (F.col(slots[c]) for c in (low_name, mean_name, high_name))
         complete = low.isNotNull() & mean.isNotNull() & high.isNotNull()
         ordered = is_ordered(low, mean, high)
         ratio = position(low, mean, high)
@@ -124,7 +128,7 @@ def position_counts(
                 F.col(f"a{i}").alias("atypical_rows"),
             )
         )
-    return df.agg(*counts).select("total", F.explode(F.array(*rows)).alias("r")).select(
+    return parsed.agg(*counts).select("total", F.explode(F.array(*rows)).alias("r")).select(
         F.col("total").alias("total_rows"), "r.*"
     )
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.numbers import parse_number
+from plumbline.functions.numbers import number
 
 ROUNDS = 10
 MAX_COLUMNS = 12  # bounds the missing patterns by 4096
@@ -122,7 +122,7 @@ def impute(df: DataFrame, columns: Sequence[str], rounds: int = ROUNDS) -> DataF
     columns = list(columns)
     if len(columns) > MAX_COLUMNS:
         raise ValueError(f"at most {MAX_COLUMNS} columns at a time")
-    values = {c: parse_number(F.col(c)) for c in columns}
+    values = {c: number(df, c) for c in columns}
     stats = df.agg(
         *(F.avg(v).alias(f"m{i}") for i, v in enumerate(values.values())),
         *(F.stddev_pop(v).alias(f"s{i}") for i, v in enumerate(values.values())),

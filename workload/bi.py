@@ -6,10 +6,9 @@ so that rule keeps its first measure as the latest.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from plumbline.operators.coherence import candidate_rules, coherence_score
+from plumbline.operators.coherence import candidate_rules, coherence_score, incoherent_columns
 from plumbline.plans.scorecard import RULE_KEYS, daily_scores, latest, roll_up, scorecard
+from plumbline.session import checkpoint
 from plumbline.sources.unions import union_all
 from workload import conformity, heterogeneity
 from workload.coherence import DIGITS, MS, numeric_pairs, sql_numeric_pairs
@@ -52,8 +51,9 @@ METRICS = {
 
 
 def history(t: Tables, metric: str):
+    """Both runs, stored once as the metric tables are; the BI queries read them several times."""
     measure, _ = METRICS[metric]
-    return union_all([measure(t, every, at) for every, at in RUNS])
+    return checkpoint(union_all([measure(t, every, at) for every, at in RUNS]))
 
 
 def sql_history(metric: str) -> str:
@@ -165,6 +165,4 @@ def _days(t: Tables):
     WHERE "M1" > 0.5 AND NOT ("M2" <= 5 AND "M3" <= 10) GROUP BY ALL""",
 )
 def _incoherent(t: Tables):
-    from plumbline.operators.coherence import incoherent_columns
-
-    return incoherent_columns(history(t, "coherence")).select(F.expr("*"))
+    return incoherent_columns(history(t, "coherence"))
