@@ -228,14 +228,10 @@ def _vector_groups(df: DataFrame, x: str, ys: Sequence[str]) -> DataFrame:
     )
 
 
-def _trigram_dimensions(text: Column, dimensions: int) -> Column:
-    """One dimension number per character trigram of `text`, from the three code points."""
-
-    def number(at: Column) -> Column:
-        codes = [F.ascii(F.substring(text, at + i, F.lit(1))) for i in range(3)]
-        return F.pmod(codes[0] * 961 + codes[1] * 31 + codes[2], F.lit(dimensions))
-
-    return F.transform(F.sequence(F.lit(1), F.length(text) - 2), number)
+def _trigram_dimension(text: str, at: str, dimensions: int) -> Column:
+    """The dimension of the trigram starting at a position, from its three code points."""
+    codes = [F.ascii(F.substring(F.col(text), F.col(at) + i, F.lit(1))) for i in range(3)]
+    return F.pmod(codes[0] * 961 + codes[1] * 31 + codes[2], F.lit(dimensions))
 
 
 def trigram_vectors(
@@ -255,8 +251,10 @@ def trigram_vectors(
         "label_id",
         F.explode(F.transform(starts, lambda at: F.substring("text", at, F.lit(CHUNK + 2)))).alias("chunk"),
     )
+    places = F.explode(F.sequence(F.lit(1), F.length("chunk") - 2)).alias("at")
     counted = (
-        chunks.select("label_id", F.explode(_trigram_dimensions(F.col("chunk"), dimensions)).alias("dim"))
+        chunks.select("label_id", "chunk", places)
+        .select("label_id", _trigram_dimension("chunk", "at", dimensions).alias("dim"))
         .groupBy("label_id", "dim")
         .agg(F.count(F.lit(1)).cast("double").alias("c"))
     )

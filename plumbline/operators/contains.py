@@ -23,7 +23,7 @@ from plumbline.operators.skew import COUNT, HEAVY_ROWS, spread_join
 
 GRAM_LENGTHS = (1, 3, 6, 12)  # bytes; a tag is looked up by the longest of these that fits into it
 MAX_BROADCAST_GRAMS = 1_000_000  # checked by a count; beyond it the lookup is a shuffle join
-CHUNK = 4_096  # bytes of a text whose grams are unfolded at a time
+BLOCK = 65_536  # positions of a text that are unfolded at a time
 
 LEFT, RIGHT = "__left_digest", "__right_digest"
 
@@ -37,34 +37,22 @@ def _gram_length(tag: Column) -> Column:
     return F.coalesce(*fitting)
 
 
-def _grams(data: Column, size: int, count: Column) -> Column:
-    """The first `count` grams of binary `data`, hashed; equal hashes are verified on the texts later.
+def _with_grams(df: DataFrame, text: str, lengths: Sequence[int]) -> DataFrame:
+    """`df` unfolded to one row per gram of `text`, as `__gram` with its length `__size`.
 
-    In bytes, because substring() of binary data needs no walk over the characters before it.
+    Grams are hashed; equal hashes are verified on the texts later. Positions are unfolded, not
+    strings, and grams are taken from bytes, where substring() need not walk over characters: the
+    text itself is never copied and everything stays in generated code.
     """
-    return F.transform(F.sequence(F.lit(1), count), lambda at: F.xxhash64(F.substring(data, at, F.lit(size))))
-
-
-def _reference_grams(refs: DataFrame, lengths: Sequence[int]) -> DataFrame:
-    """`refs` unfolded to one row per gram of the lengths in use, each once per chunk of text."""
-    overlap = max(GRAM_LENGTHS) - 1
-    data = F.col("__ref").cast("binary")
-    starts = F.sequence(F.lit(1), F.octet_length("__ref"), F.lit(CHUNK))
-    chunks = refs.where(F.octet_length("__ref") > 0).select(
-        *refs.columns,
-        F.explode(
-            F.transform(starts, lambda at: F.substring(data, at, F.lit(CHUNK + overlap)))
-        ).alias("__chunk"),
-    )
-    size = F.octet_length("__chunk")
-    per_length = [
-        F.when(size >= n, _grams(F.col("__chunk"), n, F.least(F.lit(CHUNK), size - (n - 1)))).otherwise(
-            F.array().cast("array<bigint>")
-        )
-        for n in lengths
-    ]
-    grams = per_length[0] if len(per_length) == 1 else F.concat(*per_length)
-    return chunks.select(*refs.columns, F.explode(F.array_distinct(grams)).alias("__gram"))
+    size = F.octet_length(text)
+    blocks = F.sequence(F.lit(0), size - 1, F.lit(BLOCK))
+    placed = df.where(size > 0).select(*df.columns, F.explode(blocks).alias("__from"))
+    at = F.sequence(F.col("__from") + 1, F.least(F.col("__from") + BLOCK, size))
+    placed = placed.select(*df.columns, F.explode(at).alias("__at"))
+    placed = placed.select(*df.columns, "__at", F.explode(F.array(*(F.lit(n) for n in lengths))).alias("__size"))
+    gram = F.substring(F.col(text).cast("binary"), F.col("__at"), F.col("__size"))
+    fits = F.col("__at") + F.col("__size") <= size + 1
+    return placed.where(fits).select(*df.columns, "__size", F.xxhash64(gram).alias("__gram"))
 
 
 def _rarest(tag_grams: DataFrame, frequency: DataFrame) -> DataFrame:
@@ -84,10 +72,10 @@ def _matches_of_few_tags(
 ) -> DataFrame:
     """The tags travel to the references: texts are cut, looked up and verified where they are read."""
     wanted = F.broadcast(tag_grams.select("__gram").distinct())
-    seen = _reference_grams(refs.select("__ref"), lengths).join(wanted, "__gram", "left_semi")
+    seen = _with_grams(refs.select("__ref"), "__ref", lengths).join(wanted, "__gram", "left_semi")
     frequency = seen.groupBy("__gram").agg(F.count(F.lit(1)).alias(COUNT))
     lookup = F.broadcast(_rarest(tag_grams, frequency))
-    found = _reference_grams(refs, lengths).join(lookup, "__gram")
+    found = _with_grams(refs, "__ref", lengths).join(lookup, "__gram")
     return found.where(F.contains(F.col("__ref"), F.col("__tag"))).select(*out).distinct()
 
 
@@ -98,7 +86,7 @@ def _matches_of_many_tags(
     refs = refs.distinct()
     wanted = tag_grams.select("__gram").distinct()
     ref_grams = (
-        _reference_grams(refs, lengths)
+        _with_grams(refs, "__ref", lengths)
         .select("__ref_digest", "__gram")
         .join(wanted, "__gram", "left_semi")
         .distinct()
@@ -141,11 +129,13 @@ def _matched_tags(
     )
 
     tag_set = value_tags.select("__tag").distinct().withColumn("__len", _gram_length(F.col("__tag")))
-    per_length = F.array()
-    for n in GRAM_LENGTHS:
-        mine = _grams(F.col("__tag").cast("binary"), n, F.octet_length("__tag") - (n - 1))
-        per_length = F.when(F.col("__len") == n, mine).otherwise(per_length)
-    tag_grams = tag_set.select("__tag", "__len", F.explode(F.array_distinct(per_length)).alias("__gram"))
+    # Only the grams of the length chosen for the tag.
+    tag_grams = (
+        _with_grams(tag_set, "__tag", GRAM_LENGTHS)
+        .where(F.col("__size") == F.col("__len"))
+        .select("__tag", "__len", "__gram")
+        .distinct()
+    )
 
     used = tag_grams.agg(
         F.collect_set("__len").alias("lengths"), F.count(F.lit(1)).alias("grams")
