@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators.coherence import coherence_score
 from plumbline.operators.skew import all_of
+from plumbline.session import checkpoint
 from plumbline.sources.unions import union_all
 
 # Metric table -> the columns that name a rule in it.
@@ -114,8 +115,12 @@ def scorecard(
     cities: Mapping[str, Sequence[str]] | None = None,
     default_city: str = "Common",
 ) -> DataFrame:
-    """All metric histories in one shape, with `is_latest` per rule and the city of the source."""
-    everything = union_all([_normalised(name, rows) for name, rows in metrics.items()])
+    """All metric histories in one shape, with `is_latest` per rule and the city of the source.
+
+    The rows, one per rule and run, are read twice below: they are kept, so that histories computed
+    on the way are computed once, all of them in one job.
+    """
+    everything = checkpoint(union_all([_normalised(name, rows) for name, rows in metrics.items()]))
     flagged = with_latest_flag(everything, RULE)
     return flagged.withColumn("city", city_label(F.col("source"), cities or {}, default_city))
 

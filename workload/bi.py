@@ -50,10 +50,14 @@ METRICS = {
 }
 
 
-def history(t: Tables, metric: str):
-    """Both runs, stored once as the metric tables are; the BI queries read them several times."""
+def runs(t: Tables, metric: str):
     measure, _ = METRICS[metric]
-    return checkpoint(union_all([measure(t, every, at) for every, at in RUNS]))
+    return union_all([measure(t, every, at) for every, at in RUNS])
+
+
+def history(t: Tables, metric: str):
+    """Both runs, stored once as the metric tables are."""
+    return checkpoint(runs(t, metric))
 
 
 def sql_history(metric: str) -> str:
@@ -80,7 +84,7 @@ for _metric in METRICS:
     FROM {sql_history('coherence')} WHERE "M1" > 0.5 GROUP BY source, "timestamp\"""",
 )
 def _scores(t: Tables):
-    return rounded(coherence_score(history(t, "coherence")), 9, "coherence_score")
+    return rounded(coherence_score(runs(t, "coherence")), 9, "coherence_score")
 
 
 # Metric table -> dimension, metric, source, rule and score in SQL
@@ -120,7 +124,7 @@ SQL_CARD = f"""(SELECT dimension, metric, source, rule, round(score, 9) AS score
 
 
 def card(t: Tables):
-    tables = {metric: history(t, metric) for metric in METRICS}
+    tables = {metric: runs(t, metric) for metric in METRICS}
     return rounded(scorecard(tables, {"Paris": ["orders"], "Évry": ["lineitem"]}), 9, "score")
 
 
@@ -165,4 +169,4 @@ def _days(t: Tables):
     WHERE "M1" > 0.5 AND NOT ("M2" <= 5 AND "M3" <= 10) GROUP BY ALL""",
 )
 def _incoherent(t: Tables):
-    return incoherent_columns(history(t, "coherence"))
+    return incoherent_columns(runs(t, "coherence"))
