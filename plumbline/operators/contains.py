@@ -38,7 +38,7 @@ def _gram_length(tag: Column) -> Column:
 
 
 def _with_grams(df: DataFrame, text: str, lengths: Sequence[int]) -> DataFrame:
-    """`df` unfolded to one row per gram of `text`, as `__gram` with its length `__size`.
+    """`df` unfolded to one row per gram of `text`: `__gram`, its first byte `__at`, its length `__size`.
 
     Grams are hashed; equal hashes are verified on the texts later. Positions are unfolded, not
     strings, and grams are taken from bytes, where substring() need not walk over characters: the
@@ -52,18 +52,18 @@ def _with_grams(df: DataFrame, text: str, lengths: Sequence[int]) -> DataFrame:
     placed = placed.select(*df.columns, "__at", F.explode(F.array(*(F.lit(n) for n in lengths))).alias("__size"))
     gram = F.substring(F.col(text).cast("binary"), F.col("__at"), F.col("__size"))
     fits = F.col("__at") + F.col("__size") <= size + 1
-    return placed.where(fits).select(*df.columns, "__size", F.xxhash64(gram).alias("__gram"))
+    return placed.where(fits).select(*df.columns, "__at", "__size", F.xxhash64(gram).alias("__gram"))
 
 
 def _rarest(tag_grams: DataFrame, frequency: DataFrame) -> DataFrame:
-    """(tag, gram): the gram of each tag with the fewest references; tags with an unseen gram drop out."""
-    rank = F.struct(F.coalesce(F.col(COUNT), F.lit(0)).alias("n"), F.col("__gram"))
+    """(tag, gram, place in the tag): the gram seen least in the references; unseen ones drop their tag."""
+    rank = F.struct(F.coalesce(F.col(COUNT), F.lit(0)).alias("n"), F.col("__gram"), F.col("__place"))
     return (
         tag_grams.join(frequency, "__gram", "left")
         .groupBy("__tag")
         .agg(F.min(rank).alias("m"))
         .where("m.n > 0")
-        .select("__tag", F.col("m.__gram").alias("__gram"))
+        .select("__tag", F.col("m.__gram").alias("__gram"), F.col("m.__place").alias("__place"))
     )
 
 
@@ -76,7 +76,11 @@ def _matches_of_few_tags(
     frequency = seen.groupBy("__gram").agg(F.count(F.lit(1)).alias(COUNT))
     lookup = F.broadcast(_rarest(tag_grams, frequency))
     found = _with_grams(refs, "__ref", lengths).join(lookup, "__gram")
-    return found.where(F.contains(F.col("__ref"), F.col("__tag"))).select(*out).distinct()
+    # The gram fixes where the tag would have to start: compare just there, not over the whole text.
+    start = F.col("__at") - F.col("__place") + 1
+    there = F.substring(F.col("__ref").cast("binary"), start, F.octet_length("__tag"))
+    same = (start >= 1) & (there == F.col("__tag").cast("binary"))
+    return found.where(same).select(*out).distinct()
 
 
 def _matches_of_many_tags(
@@ -133,8 +137,8 @@ def _matched_tags(
     tag_grams = (
         _with_grams(tag_set, "__tag", GRAM_LENGTHS)
         .where(F.col("__size") == F.col("__len"))
-        .select("__tag", "__len", "__gram")
-        .distinct()
+        .groupBy("__tag", "__len", "__gram")
+        .agg(F.min("__at").alias("__place"))
     )
 
     used = tag_grams.agg(

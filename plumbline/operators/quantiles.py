@@ -10,6 +10,7 @@ from bisect import bisect_right
 from collections.abc import Sequence
 from fractions import Fraction
 from itertools import accumulate
+from math import inf, isqrt, nextafter
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,19 +19,46 @@ from plumbline.functions.numbers import is_finite
 
 PERCENTS = tuple(f"{i / 100:.2f}" for i in range(1, 100))
 ACCURACY = 10_000  # rank error of the sketch: rows / ACCURACY
-GROUP = 16  # boundaries per group in the two-step bucket lookup
+MAX_RANKED = 10_000_000  # rows of a bracket that one task may sort; larger ones are split further
+SPLITS = 64
 
 
 def _bucket(value: Column, bounds: Sequence[float]) -> Column:
     """Number of boundaries below `value`: first the group of boundaries, then the place in it."""
-    groups = [list(bounds[i : i + GROUP]) for i in range(0, len(bounds), GROUP)]
+    width = max(8, isqrt(len(bounds)))
+    groups = [list(bounds[i : i + width]) for i in range(0, len(bounds), width)]
     coarse = F.lit(0)
     for group in groups[1:]:
         coarse = coarse + F.when(value > group[0], 1).otherwise(0)
     # One SQL text instead of hundreds of literal calls into the JVM; repr() keeps every digit.
     table = F.expr(f"array({', '.join('array(' + ', '.join(f'{b!r}D' for b in g) + ')' for g in groups)})")
     fine = F.size(F.filter(F.element_at(table, coarse + 1), lambda b: b < value))
-    return coarse * GROUP + fine
+    return coarse * width + fine
+
+
+def _picks(
+    probabilities: Sequence[str | float], n: int, ends: Sequence[int]
+) -> dict[int, list[tuple[float, int, float]]]:
+    """Bucket -> (probability, place in the bucket, weight) of the order statistics to be read.
+
+    Rank h = (n - 1) p lies between two of them, weighted by its fraction.
+    """
+    picks: dict[int, list[tuple[float, int, float]]] = {}
+    for name in probabilities:
+        rank = (n - 1) * Fraction(str(name))
+        low = int(rank)
+        weight = float(rank - low)
+        for place, share in ((low, 1.0 - weight), (low + 1, weight)):
+            if share:
+                bucket = bisect_right(ends, place)
+                before = ends[bucket - 1] if bucket else 0
+                picks.setdefault(bucket, []).append((float(name), place - before, share))
+    return picks
+
+
+def _single(bounds: Sequence[float], bucket: int) -> bool:
+    """Can the bracket hold only one value? It reaches from above the bound before it up to its own."""
+    return 0 < bucket < len(bounds) and nextafter(bounds[bucket - 1], inf) >= bounds[bucket]
 
 
 def exact_quantiles(
@@ -38,47 +66,53 @@ def exact_quantiles(
     column: str,
     probabilities: Sequence[str | float] = PERCENTS,
     accuracy: int = ACCURACY,
+    max_ranked: int = MAX_RANKED,
 ) -> DataFrame:
     """(probability, quantile), linearly interpolated, over the finite non-null values.
 
-    Two driver round trips fetch bounded lists: the bracket bounds and one count per bracket. The
-    third pass ranks the bracketed values, about 4 / accuracy of the rows per probability.
+    Driver round trips fetch bounded lists only: bracket bounds and one count per bracket. While a
+    wanted bracket holds more than `max_ranked` rows and more than one value, it is split by another
+    sketch of its own. The last pass ranks the rows inside the brackets.
     """
     if column not in df.columns:
         raise ValueError(f"no column {column!r}")
-    wanted = [Fraction(str(p)) for p in probabilities]
     values = df.select(F.col(column).cast("double").alias("v")).where(
         F.col("v").isNotNull() & is_finite(F.col("v"))
     )
     margin = 2.0 / accuracy
     around = sorted(
-        {min(1.0, max(0.0, float(p) + step)) for p in wanted for step in (-margin, margin)}
+        {min(1.0, max(0.0, float(p) + step)) for p in probabilities for step in (-margin, margin)}
     )
     sketch = values.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("v", [float(p) for p in around], accuracy).alias("bounds"),
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("v", around, accuracy).alias("bounds")
     ).first()
     n = sketch["n"]
     if n < 2:
         raise ValueError(f"{column!r} has fewer than two finite values")
     bounds = sorted(set(sketch["bounds"]))
 
-    bucketed = values.withColumn("bucket", _bucket(F.col("v"), bounds))
-    sizes = {r["bucket"]: r["n"] for r in bucketed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
-    ids = range(len(bounds) + 1)
-    ends = list(accumulate(sizes.get(i, 0) for i in ids))  # rows up to and including bucket i
-
-    # Rank h = (n - 1) p lies between two order statistics, weighted by its fraction.
-    picks: dict[int, list[tuple[float, int, float]]] = {}
-    for name, p in zip(probabilities, wanted):
-        rank = (n - 1) * p
-        low = int(rank)
-        weight = float(rank - low)
-        for place, share in ((low, 1.0 - weight), (low + 1, weight)):
-            if share:
-                bucket = bisect_right(ends, place)
-                before = ends[bucket - 1] if bucket else 0
-                picks.setdefault(bucket, []).append((float(name), place - before, share))
+    while True:
+        bucketed = values.withColumn("bucket", _bucket(F.col("v"), bounds))
+        counted = bucketed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()
+        sizes = {r["bucket"]: r["n"] for r in counted}
+        ends = list(accumulate(sizes.get(i, 0) for i in range(len(bounds) + 1)))
+        picks = _picks(probabilities, n, ends)
+        crowded = [b for b in picks if sizes[b] > max_ranked and not _single(bounds, b)]
+        if not crowded:
+            break
+        cuts = [i / SPLITS for i in range(1, SPLITS)]
+        split = (
+            bucketed.where(F.col("bucket").isin(crowded))
+            .groupBy("bucket")
+            .agg(F.percentile_approx("v", cuts, accuracy).alias("cuts"))
+            .collect()
+        )
+        # A bound on either side of each cut gives a value held by many rows a bracket of its own.
+        cuts_found = {c for r in split for c in r["cuts"]}
+        finer = sorted(cuts_found.union(bounds, (nextafter(c, -inf) for c in cuts_found)))
+        if finer == bounds:
+            break
+        bounds = finer
 
     lookup = F.expr(
         "map("

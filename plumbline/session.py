@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Call sites in error messages cost several JVM calls per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -73,6 +73,13 @@ def test_quantiles_are_exact_whatever_the_sketch_says(frame):
     assert found[0.99] == pytest.approx(np.quantile(numbers, 0.99))
 
 
+def test_crowded_brackets_are_split(frame):
+    numbers = list(np.random.default_rng(6).normal(size=3000)) + [0.25] * 2000
+    rows = exact_quantiles(column(frame, numbers), "v", ["0.25", "0.5", "0.9"], accuracy=5, max_ranked=40).collect()
+    found = {x["probability"]: x["quantile"] for x in rows}
+    assert [found[p] for p in (0.25, 0.5, 0.9)] == pytest.approx(list(np.quantile(numbers, [0.25, 0.5, 0.9])))
+
+
 def test_quantiles_need_two_values(frame):
     with pytest.raises(ValueError):
         exact_quantiles(column(frame, [1, None]), "v")
