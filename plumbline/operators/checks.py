@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from plumbline.functions.numbers import number
 from plumbline.functions.text import compact_texts, finds
-from plumbline.operators.skew import COUNT, HEAVY_ROWS, any_of, count_by, spread_join
+from plumbline.operators.skew import COUNT, any_of, count_by, spread_join
 
 NullPolicy = Literal["ignore", "fail"]
 
@@ -297,7 +297,6 @@ def uniqueness_violations(
     keys: Sequence[str],
     source: str,
     row_key: Sequence[str],
-    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """(source, column_name, row key) of every row whose key occurs more than once."""
     keys = sorted(keys)
@@ -308,7 +307,7 @@ def uniqueness_violations(
     )
     counts = count_by(needed, slots)
     repeated = counts.where(F.col(COUNT) > 1).select(*slots)
-    failing = spread_join(needed, repeated, slots, counts, row_key, "left_semi", heavy_rows)
+    failing = spread_join(needed, repeated, slots, "left_semi")
     return failing.select(
         F.lit(source).alias("source"), F.lit(key_label(keys)).alias("column_name"), *row_key
     )

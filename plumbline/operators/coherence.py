@@ -304,9 +304,8 @@ def _text_groups(df: DataFrame, x: str, ys: Sequence[str], dimensions: int) -> D
     counted = data.groupingSets([[F.col("label_id"), *s] for s in _group_sets(ys)], "label_id", *every).agg(
         F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("n")
     )
-    combinations = counted.groupBy("label_id").agg(F.count(F.lit(1)).alias(COUNT))
     entries = (
-        spread_join(counted, vectors, ["label_id"], combinations, ["gid", *every])
+        spread_join(counted, vectors, ["label_id"])
         .select("gid", *every, "n", F.explode("vector").alias("e"))
         .groupBy("gid", *every, F.col("e.dim").alias("dim"))
         .agg(F.sum(F.col("n") * F.col("e.w")).alias("s"))

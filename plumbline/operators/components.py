@@ -9,31 +9,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators.skew import COUNT, HEAVY_ROWS, spread_join
-from plumbline.session import checkpoint
+from plumbline.operators.skew import spread_join
+from plumbline.session import Checkpoints
 
 
-def _with_least(edges: DataFrame, least: DataFrame, heavy_rows: int | None) -> DataFrame:
-    """Join the least neighbour of `u` to its edges; a hub's edges are spread over many tasks."""
-    if heavy_rows is None:
-        return edges.join(least.select("u", "m"), "u")
-    return spread_join(edges, least.select("u", "m"), ["u"], least, ["v"], heavy_rows=heavy_rows)
-
-
-def _large_star(pairs: DataFrame, heavy_rows: int | None) -> DataFrame:
+def _large_star(pairs: DataFrame) -> DataFrame:
     """Every node ties its greater neighbours to the least node around it."""
     both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(
-        F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias(COUNT)
-    )
-    tied = _with_least(both.where("v > u"), least, heavy_rows)
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    tied = spread_join(both.where("v > u"), least, ["u"])
     return tied.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(pairs: DataFrame, heavy_rows: int | None) -> DataFrame:
+def _small_star(pairs: DataFrame) -> DataFrame:
     """Every node ties itself and its smaller neighbours to the least of them."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias(COUNT))
-    tied = _with_least(pairs, least, heavy_rows)
+    least = pairs.groupBy("u").agg(F.min("v").alias("m"))
+    tied = spread_join(pairs, least, ["u"])
     ends = F.array(F.col("u"), F.col("v"))
     return tied.select(F.explode(ends).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
@@ -47,22 +38,25 @@ def _is_star_forest(pairs: DataFrame) -> bool:
     return nodes.where("out > 1 or (out = 1 and in = 1)").isEmpty()
 
 
-def connected_components(
-    edges: DataFrame, a: str, b: str, heavy_rows: int = HEAVY_ROWS, max_rounds: int = 200
-) -> DataFrame:
-    """(node, component) for every node on an edge; the component is named by its least node."""
-    ordered = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-    alone = ordered.where("u = v").select(F.col("u").alias("node"), F.col("v").alias("component"))
-    pairs = checkpoint(ordered.where("u <> v").distinct())
-    # Edges never grow in number: with few of them no hub can be heavy, and plain joins will do.
-    salt = heavy_rows if 2 * pairs.count() >= heavy_rows else None
-    for _ in range(max_rounds):
-        if _is_star_forest(pairs):
-            break
-        pairs = checkpoint(_small_star(_large_star(pairs, salt), salt))
-    else:
-        raise RuntimeError(f"no convergence within {max_rounds} rounds")
+def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
+    """(node, component) for every node on an edge; the component is named by its least node.
+
+    Each round writes the edges to the checkpoint folder and drops what the round before wrote.
+    """
+    kept = Checkpoints(edges.sparkSession)
+    whole = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    ordered = whole.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+    # A node tied only to itself stays as an edge u = v: the stars leave it alone.
+    start = kept.write(ordered.distinct())
+    alone = start.where("u = v").select(F.col("u").alias("node"), F.col("v").alias("component"))
+    pairs = start.where("u <> v")
+    last = None
+    while not _is_star_forest(pairs):
+        pairs = kept.write(_small_star(_large_star(pairs)))
+        if last is not None:
+            kept.drop(last)
+        last = pairs
     leaves = pairs.select(F.col("u").alias("node"), F.col("v").alias("component"))
     centers = pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     linked = leaves.unionByName(centers)
-    return linked.unionByName(alone.distinct().join(linked.select("node"), "node", "left_anti"))
+    return linked.unionByName(alone.join(linked.select("node"), "node", "left_anti"))

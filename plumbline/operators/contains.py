@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import strip, tags
-from plumbline.operators.skew import COUNT, HEAVY_ROWS, spread_join
+from plumbline.operators.skew import COUNT, spread_join
 
 GRAM_LENGTHS = (1, 3, 6, 12)  # bytes; a tag is looked up by the longest of these that fits into it
 MAX_BROADCAST_GRAMS = 1_000_000  # checked by a count; beyond it the lookup is a shuffle join
@@ -84,7 +84,7 @@ def _matches_of_few_tags(
 
 
 def _matches_of_many_tags(
-    refs: DataFrame, tag_grams: DataFrame, lengths: Sequence[int], out: Sequence[str], heavy_rows: int
+    refs: DataFrame, tag_grams: DataFrame, lengths: Sequence[int], out: Sequence[str]
 ) -> DataFrame:
     """Both sides meet on the gram in a shuffle; each distinct text is then verified by its digest."""
     refs = refs.distinct()
@@ -97,8 +97,7 @@ def _matches_of_many_tags(
     )
     frequency = ref_grams.groupBy("__gram").agg(F.count(F.lit(1)).alias(COUNT))
     candidates = spread_join(
-        ref_grams, _rarest(tag_grams, frequency), ["__gram"], frequency, ["__ref_digest"],
-        heavy_rows=heavy_rows,
+        ref_grams, _rarest(tag_grams, frequency), ["__gram"]
     ).select("__tag", "__ref_digest")
     return (
         candidates.join(refs, "__ref_digest")
@@ -114,7 +113,6 @@ def _matched_tags(
     ref_side: DataFrame,
     ref_column: str,
     out: Sequence[str],
-    heavy_rows: int,
     max_broadcast: int,
 ) -> DataFrame:
     """`__tag_digest` of each tag-side value with the columns `out` (`__tag`, perhaps `__ref_digest`) it matches.
@@ -149,7 +147,7 @@ def _matched_tags(
     if used["grams"] <= max_broadcast:
         matched = _matches_of_few_tags(refs, tag_grams, lengths, out)
     else:
-        matched = _matches_of_many_tags(refs, tag_grams, lengths, out, heavy_rows)
+        matched = _matches_of_many_tags(refs, tag_grams, lengths, out)
     return value_tags.join(matched, "__tag")
 
 
@@ -158,12 +156,11 @@ def matching_values(
     tag_column: str,
     ref_side: DataFrame,
     ref_column: str,
-    heavy_rows: int = HEAVY_ROWS,
     max_broadcast: int = MAX_BROADCAST_GRAMS,
 ) -> DataFrame:
     """Distinct (`__tag_digest`, `__ref_digest`) of values where some tag is inside the reference."""
     matched = _matched_tags(
-        tag_side, tag_column, ref_side, ref_column, ["__tag", "__ref_digest"], heavy_rows, max_broadcast
+        tag_side, tag_column, ref_side, ref_column, ["__tag", "__ref_digest"], max_broadcast
     )
     return matched.select("__tag_digest", "__ref_digest").distinct()
 
@@ -221,12 +218,11 @@ def has_match(
     right: DataFrame,
     left_column: str,
     right_column: str,
-    heavy_rows: int = HEAVY_ROWS,
     max_broadcast: int = MAX_BROADCAST_GRAMS,
 ) -> DataFrame:
     """`__tag_digest` of the `left` values of which a tag lies inside some `right` value.
 
     Only tags leave the lookup, so a short tag found everywhere is one record and not one per text.
     """
-    matched = _matched_tags(left, left_column, right, right_column, ["__tag"], heavy_rows, max_broadcast)
+    matched = _matched_tags(left, left_column, right, right_column, ["__tag"], max_broadcast)
     return matched.select("__tag_digest").distinct()

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from plumbline.functions.text import compact, expand_column
 from plumbline.operators.checks import run_timestamp
 from plumbline.operators.contains import _digest, has_match
-from plumbline.operators.skew import COUNT, HEAVY_ROWS, all_of, count_by, spread_join
+from plumbline.operators.skew import COUNT, all_of, count_by, spread_join
 from plumbline.sources.unions import union_all
 
 
@@ -88,7 +88,7 @@ def foreign_key(
 
 def foreign_key_violations(
     left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
-    sources: tuple[str, str], row_key: Sequence[str], heavy_rows: int = HEAVY_ROWS,
+    sources: tuple[str, str], row_key: Sequence[str],
 ) -> DataFrame:
     """(source_1, source_2, column_name, row key) of rows without a partner."""
     parts = []
@@ -96,17 +96,15 @@ def foreign_key_violations(
         key, keys = _single_keys(left, right, c1, c2)
         rows = left.select(*row_key, key.alias("k0"))
         parts.append(
-            _failing(
-                _rows_without(rows, keys, ["k0"], row_key, heavy_rows), sources, f"{c1}, {c2}", row_key
-            )
+            _failing(_rows_without(rows, keys, ["k0"]), sources, f"{c1}, {c2}", row_key)
         )
     return union_all(parts)
 
 
-def _rows_without(rows, keys, on, row_key, heavy_rows) -> DataFrame:
+def _rows_without(rows, keys, on) -> DataFrame:
     counts = count_by(rows, on)
     missing = counts.join(keys, list(on), "left_anti").select(*on)
-    return spread_join(rows, missing, on, counts, row_key, "left_semi", heavy_rows)
+    return spread_join(rows, missing, on, "left_semi")
 
 
 def fuzzy_foreign_key(
@@ -124,7 +122,7 @@ def fuzzy_foreign_key(
 
 def fuzzy_foreign_key_violations(
     left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
-    sources: tuple[str, str], row_key: Sequence[str], heavy_rows: int = HEAVY_ROWS,
+    sources: tuple[str, str], row_key: Sequence[str],
 ) -> DataFrame:
     parts = []
     for c1, c2 in pairs:
@@ -132,7 +130,7 @@ def fuzzy_foreign_key_violations(
         matched = has_match(left, right, c1, c2).withColumnRenamed("__tag_digest", "k0")
         parts.append(
             _failing(
-                _rows_without(rows, matched, ["k0"], row_key, heavy_rows),
+                _rows_without(rows, matched, ["k0"]),
                 sources, f"{c1}, {c2}", row_key,
             )
         )
@@ -162,9 +160,9 @@ def expanded_foreign_key(
 def expanded_foreign_key_violations(
     left: DataFrame, right: DataFrame, column: str, extractions: Sequence[tuple[str, str]],
     replacements: Sequence[tuple[str, str]], keys: Sequence[str],
-    sources: tuple[str, str], row_key: Sequence[str], heavy_rows: int = HEAVY_ROWS,
+    sources: tuple[str, str], row_key: Sequence[str],
 ) -> DataFrame:
     parts, wanted = _expanded(left, right, column, extractions, replacements, keys)
     rows = parts.select(*dict.fromkeys([*row_key, *keys]))
-    failing = _rows_without(rows, wanted, keys, row_key, heavy_rows)
+    failing = _rows_without(rows, wanted, keys)
     return _failing(failing, sources, ", ".join(keys), row_key)

@@ -1,8 +1,10 @@
 """Joins on keys of which one may hold a large share of all rows.
 
-AQE splits skewed partitions only where a join reads a plain shuffle. After an aggregation on the
-join key there is no such shuffle, so a hot key would still land in one task. `spread_join` salts
-just those keys. Which keys are hot is known from per-key row counts that the callers have anyway.
+AQE splits a skewed partition only where a join reads a plain shuffle on both sides. An aggregation on
+the join key leaves its rows placed by that key, so no such shuffle follows and a hot key stays in one
+task. `spread_join` joins on a hash of the key beside the key itself. No side is placed by that pair, so
+Spark shuffles both anew, and AQE splits any partition that turns out too large: no list of hot keys, no
+fan and no bound on either.
 """
 
 from __future__ import annotations
@@ -13,10 +15,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HEAVY_ROWS = 1_000_000  # a key with fewer rows is never salted
-MAX_HEAVY_KEYS = 1_000  # bound of the broadcast list; any key beyond it holds < 1/1000 of the rows
-MAX_FAN = 1_024  # most salts for one key
-
 COUNT = "n_rows"
 
 
@@ -33,52 +31,20 @@ def count_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(COUNT))
 
 
-def spread_join(
-    rows: DataFrame,
-    keyed: DataFrame,
-    on: Sequence[str],
-    counts: DataFrame,
-    unique: Sequence[str],
-    how: str = "inner",
-    heavy_rows: int = HEAVY_ROWS,
-) -> DataFrame:
-    """Join `rows` to `keyed` on `on` (nulls equal), spreading each heavy key over many tasks.
+def spread_join(rows: DataFrame, keyed: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join `rows` to `keyed` on `on` (nulls equal); a partition of `rows` that a hot key fills is split.
 
-    `counts` holds `on` plus `n_rows`, the number of `rows` per key. `unique` names columns that
-    differ between rows of one key; the salt is a hash of them, so that a retried task computes
-    the same one. `how` is inner, left, left_semi or left_anti. `keyed` is repeated once per salt for
-    heavy keys only: at most MAX_HEAVY_KEYS * MAX_FAN times its rows per key.
+    `how` is inner, left, left_semi or left_anti: the joins in which the left side may be split.
     """
     on = list(on)
-    heavy = (
-        counts.where(F.col(COUNT) >= heavy_rows)
-        .orderBy(F.col(COUNT).desc(), *on)
-        .limit(MAX_HEAVY_KEYS)
-        .select(
-            *(F.col(c).alias(f"__h{i}") for i, c in enumerate(on)),
-            F.least(F.lit(MAX_FAN), F.ceil(F.col(COUNT) / heavy_rows)).cast("int").alias("__fan"),
-        )
-    )
-    markers = [f"__h{i}" for i in range(len(on))]
-
-    def with_fan(df: DataFrame) -> DataFrame:
-        same = all_of([F.col(c).eqNullSafe(F.col(m)) for c, m in zip(on, markers)])
-        return df.join(F.broadcast(heavy), same, "left").drop(*markers)
-
-    left = with_fan(rows).withColumn(
-        "__salt",
-        F.when(F.col("__fan").isNull(), 0)
-        .otherwise(F.pmod(F.xxhash64(*unique), F.col("__fan")))
-        .cast("int"),
-    )
     right_keys = [f"__k{i}" for i in range(len(on))]
-    right = with_fan(keyed).withColumn(
-        "__rsalt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__fan"), F.lit(1)) - 1))
-    )
     payload = [c for c in keyed.columns if c not in on]
-    right = right.select(*(F.col(c).alias(k) for c, k in zip(on, right_keys)), "__rsalt", *payload)
+    left = rows.withColumn("__digest", F.xxhash64(*on))
+    right = keyed.select(
+        *(F.col(c).alias(k) for c, k in zip(on, right_keys)), F.xxhash64(*on).alias("__kdigest"), *payload
+    )
     condition = all_of(
-        [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(on, right_keys)]
-        + [F.col("__salt") == F.col("__rsalt")]
+        [F.col("__digest") == F.col("__kdigest")]
+        + [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(on, right_keys)]
     )
-    return left.join(right, condition, how).drop("__fan", "__salt", "__rsalt", *right_keys)
+    return left.join(right, condition, how).drop("__digest", "__kdigest", *right_keys)

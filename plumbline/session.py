@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plumbline.sources.files import Folder
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 DEFAULTS = {
@@ -49,3 +52,28 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """Write `df` to the checkpoint folder and cut its lineage; survives the loss of executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+class Checkpoints:
+    """Intermediate tables in the checkpoint folder that can be dropped again, each by its own name.
+
+    The tables are Parquet files in shared storage, so they outlive executors, and reading them starts a
+    new lineage. `drop` removes one as soon as a later one stands in for it: a loop holds two at a time.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.folder = f"{ensure_checkpoint_dir(spark)}/tables-{uuid.uuid4().hex}"
+        self.names: dict[int, str] = {}
+        self.tables: list[DataFrame] = []
+
+    def write(self, df: DataFrame) -> DataFrame:
+        name = f"{len(self.tables):06d}"
+        df.write.parquet(f"{self.folder}/{name}")
+        table = self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+        self.names[id(table)] = name
+        self.tables.append(table)  # keeps ids unique
+        return table
+
+    def drop(self, table: DataFrame) -> None:
+        Folder(self.spark, self.folder).remove(self.names.pop(id(table)))

@@ -73,7 +73,7 @@ def test_lookup_equals_brute_force_on_either_path(frame, max_broadcast):
 
     tags, refs = frame(left, "t string").distinct(), frame(right, "r string").distinct()
     found = (
-        matching_values(tags, "t", refs, "r", heavy_rows=5, max_broadcast=max_broadcast)
+        matching_values(tags, "t", refs, "r", max_broadcast=max_broadcast)
         .join(tags.withColumn("__tag_digest", _digest("t")), "__tag_digest")
         .join(refs.withColumn("__ref_digest", _digest("r")), "__ref_digest")
         .select("t", "r")
@@ -91,7 +91,7 @@ def test_spread_join_equals_a_plain_join(spark, how):
     keyed = spark.range(20).select((F.col("id") * 2).alias("k"), (F.col("id") + 100).alias("v")).unionByName(
         spark.range(1).select(F.lit(None).cast("bigint").alias("k"), F.lit(7).cast("bigint").alias("v"))
     )
-    got = spread_join(rows, keyed, ["k"], count_by(rows, ["k"]), ["id"], how, heavy_rows=4)
+    got = spread_join(rows, keyed, ["k"], how)
     same = rows["k"].eqNullSafe(keyed["k"])
     want = rows.join(keyed, same, how).select(rows["id"], rows["k"], *([] if "semi" in how or "anti" in how else ["v"]))
     assert sorted(map(tuple, got.select(*want.columns).collect()), key=repr) == sorted(
@@ -104,9 +104,8 @@ def test_foreign_key_nulls_and_duplicates(frame):
     right = frame([("a",), ("a",), (None,), ("b",)], "k2 string")
     out = references.foreign_key(left, right, [("k", "k2")], ("l", "r"), AT).first()
     assert (out["fk_percent"], out["column_name_1"], out["column_name_2"]) == (0.5, "k", "k2")
-    for heavy in (1, 1000):
-        bad = references.foreign_key_violations(left, right, [("k", "k2")], ("l", "r"), ["id"], heavy)
-        assert sorted((r["column_name"], r["id"]) for r in bad.collect()) == [("k, k2", 3), ("k, k2", 4)]
+    bad = references.foreign_key_violations(left, right, [("k", "k2")], ("l", "r"), ["id"])
+    assert sorted((r["column_name"], r["id"]) for r in bad.collect()) == [("k, k2", 3), ("k, k2", 4)]
 
 
 def test_foreign_key_to_an_empty_table_and_across_types(frame):
