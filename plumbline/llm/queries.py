@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import quality, simhash, toxicity, url_rules
+from plumbline.llm import licenses, packing, quality, simhash, toxicity, url_rules
 from plumbline.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,14 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, folder, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan_licenses(_table(spark, folder, "documents"))
+    return found.drop("expressions")
+
+
+@query
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, folder, "documents"))
