@@ -12,8 +12,6 @@ from __future__ import annotations
 
 import base64
 import bisect
-import re
-import struct
 import zlib
 from collections import Counter
 from functools import lru_cache
@@ -21,6 +19,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,18 +29,16 @@ from plumbline.session import Checkpoints
 CAPACITY = 2_048
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"  # the same vocabulary for two libraries
 END_ID = 0
-_CACHE = 400_000  # pieces of text whose ids a task remembers
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-_HARD = re.compile(r"\s | \s|^ | $")  # a blank beside other white space or at an end of the text
+_CHUNK = 16_000_000  # characters encoded at a time
 
 
 class IdEncoder:
-    """Ids of whole texts as little-endian unsigned 32-bit numbers: those of `tokenizers` for each text at once.
+    """Ids of whole texts as arrays of unsigned 32-bit numbers: those of `tokenizers` for each text at once.
 
-    The byte-level pre-tokenizer always cuts before a single blank between two characters that are no white
-    space. So a text may be cut there first, and the ids of the pieces, which repeat a lot, be remembered. Pieces
-    are encoded by `tiktoken`, which gives the same ids from the same vocabulary in a fraction of the time;
-    texts that hold the name of a special token go through `tokenizers` as they are.
+    The byte-level pre-tokenizer always cuts before a single blank. So the distinct words of many texts are
+    encoded once, in one run whose words are told apart by the blank in front, and each text's ids are gathered
+    from them. `tiktoken` does it, which gives the same ids from the same vocabulary faster; texts that hold the
+    name of a special token go through `tokenizers`, texts with blanks in a row or at an end are encoded whole.
     """
 
     def __init__(self, path: str | None = None, ranks: str | None = None) -> None:
@@ -56,38 +53,50 @@ class IdEncoder:
         self.plain = tiktoken.Encoding(
             "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={}
         )
-        self.spaced = _Remembered(lambda piece: self.encode(f" {piece}"))
+        self.blank = np.zeros(max(merges.values()) + 1, bool)
+        self.blank[[rank for token, rank in merges.items() if token.startswith(b" ")]] = True
 
-    def encode(self, text: str) -> bytes:
-        ids = self.plain.encode_ordinary(text)
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def __call__(self, text: str) -> bytes:
+    def encode(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        pieces = _CUT.split(text) if _HARD.search(text) else text.split(" ")
-        return self.encode(pieces[0]) + b"".join([self.spaced[p] for p in pieces[1:]])
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(self.plain.encode_ordinary(text), "<u4")
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        out: list[np.ndarray | None] = [
+            self.encode(t)
+            if not t or "  " in t or t[0] == " " or t[-1] == " " or any(s in t for s in self.special)
+            else None
+            for t in texts
+        ]
+        easy = [i for i, ids in enumerate(out) if ids is None]
+        if not easy:
+            return out
+        lists = pc.split_pattern(pa.array([texts[i] for i in easy], pa.large_string()), " ")
+        ends = lists.offsets.to_numpy()[1:] - lists.offsets.to_numpy()[0]
+        coded = lists.flatten().dictionary_encode()
+        word = coded.indices.to_numpy()
+        ids = np.array(self.plain.encode_ordinary(" " + " ".join(coded.dictionary.to_pylist())), "<u4")
+        starts = np.flatnonzero(self.blank[ids])
+        counts = np.diff(np.append(starts, len(ids)))
+        if len(starts) != len(coded.dictionary):
+            raise ValueError("the vocabulary does not cut before every blank")
+        begins = np.append(0, ends[:-1])
+        heads = [self.encode(texts[i][: (texts[i] + " ").index(" ")]) for i in easy]
+        counts = counts[word]
+        counts[begins] = 0  # the first word has no blank in front: its ids come from `heads`
+        total = np.cumsum(counts)
+        flat = ids[np.arange(total[-1]) + np.repeat(starts[word] - (total - counts), counts)]
+        for i, head, a, b in zip(easy, heads, total[begins], total[ends - 1]):
+            out[i] = np.concatenate([head, flat[a:b]])
+        return out
 
 
 @lru_cache(maxsize=1)
 def encoder(path: str | None = None, ranks: str | None = None) -> IdEncoder:
-    """One encoder a Python worker, which keeps what it remembers from task to task."""
+    """One encoder a Python worker."""
     return IdEncoder(path, ranks)
 
 
-class _Remembered(dict):
-    """Values by key, made when first asked for; emptied when there are too many."""
-
-    def __init__(self, make) -> None:
-        self.make = make
-
-    def __missing__(self, key: str) -> bytes:
-        if len(self) >= _CACHE:
-            self.clear()
-        value = self[key] = self.make(key)
-        return value
-
-
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of n ids; only the first may be shorter than `capacity`."""
     first = n % capacity or min(n, capacity)
@@ -103,14 +112,20 @@ def tokenize(
     """
 
     def start():
-        encode, end = encoder(path, ranks), np.array([END_ID], "<u4").tobytes()
+        end = np.array([END_ID], "<u4")
 
         def work(ids, texts):
-            rows = []
-            for doc_id, text in zip(ids, texts):
-                data = encode(text or "") + end
-                for piece, (at, n) in enumerate(cut(len(data) // 4, capacity)):
-                    rows.append((doc_id, piece, at, n, zlib.crc32(data[4 * at : 4 * (at + n)])))
+            rows, at = [], 0
+            while at < len(texts):
+                part, chars = [], 0
+                while at + len(part) < len(texts) and chars < _CHUNK:
+                    part.append(texts[at + len(part)] or "")
+                    chars += len(part[-1])
+                for doc_id, found in zip(ids[at:], encoder(path, ranks).encode_all(part)):
+                    data = np.append(found, end)
+                    for piece, (first, n) in enumerate(cut(len(data), capacity)):
+                        rows.append((doc_id, piece, first, n, zlib.crc32(data[first : first + n].tobytes())))
+                at += len(part)
             return list(zip(*rows)) if rows else [[]] * 5
 
         return work
