@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import licenses, packing, quality, simhash, toxicity, url_rules
+from plumbline.llm import decontaminate, html_text, licenses, packing, quality, simhash, token_counts, toxicity, url_rules, vector_links
 from plumbline.llm.common import remainder
+from plumbline.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,6 +42,12 @@ def _judged(documents: DataFrame, scores: DataFrame, held_out: tuple[int, int],
     )
 
 
+@query
+def op1_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = html_text.extract_text(_table(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 @query
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
@@ -48,6 +56,48 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return _judged(documents, scores, toxicity.HELD_OUT, toxicity.THRESHOLD)
 
 
+@query
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents come in, those of low quality are taken out, toxic ones come (back) with digits masked."""
+    documents, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    ledger = token_counts.TokenLedger(spark, f"{ensure_checkpoint_dir(spark)}/ledger-{uuid.uuid4().hex}").create()
+    ledger.commit(1, token_counts.counted(documents))
+    low = labels.where("quality = 0").select("doc_id").distinct()
+    ledger.commit(2, token_counts.deleted(documents.select("doc_id").join(low, "doc_id", "left_semi")))
+    masked = documents.withColumn("text", F.regexp_replace("text", "[0-9]+", "#"))
+    toxic = masked.join(labels.where("toxic = 1").select("doc_id").distinct(), "doc_id", "left_semi")
+    for _ in range(2):  # delivered twice, counted once
+        ledger.commit(3, token_counts.counted(toxic))
+    return ledger.totals()
+
+
+ORACLES["op3_token_counts"] = f"""
+WITH live AS (
+  SELECT source, lang, doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS masked,
+         CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)
+              THEN regexp_replace(text, '[0-9]+', '#', 'g') ELSE text END AS text
+  FROM documents
+  WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)
+     OR doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)),
+counts AS (
+  {' UNION ALL '.join(
+      f"SELECT source, lang, '{name}' AS tokenizer, len(regexp_extract_all(text, '{pattern}')) AS n FROM live"
+      for name, pattern in token_counts.TOKENIZERS.items())})
+SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens
+FROM counts GROUP BY source, lang, tokenizer
+"""
+
+
+@query
+def op4_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_links.link_vectors(_table(spark, folder, "embeddings"))
+
+
+@query
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 @query
 def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
