@@ -27,6 +27,7 @@ MAX_CHARS = 20_000  # labelled documents longer than this are not learnt from; s
 BUCKETS, SIZE, WINDOW = 1 << 17, 8, 16
 GRAMS = (3, 4, 5)
 EPOCHS, BATCH, RATE, DECAY = 5, 64, 0.02, 0.5
+MIN_STEPS = 200  # of the optimizer, however few documents there are
 MIN_DOCS = 5  # a subword of fewer sampled documents keeps a zero vector: it can only be learnt by heart
 THRESHOLD = 0.3
 SCALE = 10.0  # of window means; it only rescales the rate of learning
@@ -161,8 +162,10 @@ def train(texts: list[str], labels: np.ndarray, weight: np.ndarray) -> ToxicityM
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     weight = weight / weight.mean()
     used = [i for i in range(len(texts)) if len(places[i])]
-    step, n_steps = 0, EPOCHS * -(-len(used) // BATCH)
-    for _ in range(EPOCHS):
+    batches = -(-len(used) // BATCH)
+    epochs = max(EPOCHS, -(-MIN_STEPS // batches))  # few documents are gone through more often
+    step, n_steps = 0, epochs * batches
+    for _ in range(epochs):
         shuffled = rng.permutation(used)
         for at in range(0, len(shuffled), BATCH):
             step += 1
