@@ -13,7 +13,7 @@ from plumbline.operators import checks, coherence, dispersion, references
 from plumbline.operators.checks import RowCheck, run_timestamp
 from plumbline.session import checkpoint
 from plumbline.sources.registry import MetricStore, ViolationStore
-from plumbline.sources.unions import union_all, union_sources
+from plumbline.sources.unions import require_unique, union_all, union_sources
 
 
 @dataclass(frozen=True)
@@ -156,7 +156,7 @@ def violations(
     """(source, rule, metric, column_name, detail, row_id) of all failing rows.
 
     `row_ids` names the unique integer column of each source; for a key rule over several sources
-    it must be unique over their union.
+    it must be unique over their union (`union_row_ids` makes it so), and is refused if it is not.
     """
     def shaped(rows: DataFrame, metric, source, column_name, detail, row_id: str) -> DataFrame:
         return rows.select(
@@ -177,6 +177,8 @@ def violations(
     for rule in rules.keys:
         row_id = row_ids[rule.label if rule.label in row_ids else rule.sources[0]]
         rows = union_sources(rule.sources, tables, "vertical_relaxed", [*dict.fromkeys([*rule.columns, row_id])])
+        if len(rule.sources) > 1:
+            require_unique(rows, row_id)
         failing = checks.uniqueness_violations(rows, rule.columns, rule.label, [row_id])
         parts.append(shaped(failing, F.lit(checks.UNIQUENESS), F.col("source"), column_name, nothing, row_id))
     for rule in rules.references:

@@ -23,7 +23,7 @@ from plumbline.operators.rescale import (
     repair_position_ratio,
 )
 from plumbline.sources.tables import VersionedTable, stamp_row_id
-from plumbline.sources.unions import union_sources
+from plumbline.sources.unions import require_unique, union_sources
 
 
 @dataclass(frozen=True)
@@ -81,7 +81,8 @@ def deduplicate_sources(
 ) -> DedupResult:
     """Deduplicate the union of `sources` as the source "a+b", each prepared first (casts, renames).
 
-    Written if anything was removed, whether through a key or a dependency.
+    Written if anything was removed, whether through a key or a dependency. Ids that repeat over the union are
+    refused: they would name rows that the registry does not mean (see `union_row_ids`).
     """
     frames = dict(catalog)
     for name, transform in zip(sources, prepare):
@@ -90,6 +91,8 @@ def deduplicate_sources(
     union = union_sources(list(sources), frames)
     if settings.row_id not in union.columns:
         union = stamp_row_id(union, settings.row_id)
+    else:
+        require_unique(union, settings.row_id)
     result = deduplicate(
         union, errors, "+".join(sources), settings.row_id, settings.epsilon, settings.max_lhs,
         settings.only_flagged, settings.order_by, settings.descending,

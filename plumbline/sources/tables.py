@@ -28,8 +28,6 @@ FORMATS = {
 # Formats without a distributed reader in Spark.
 SINGLE_MACHINE = ("xlsx", "xls", "excel", "feather", "ipc", "arrow")
 
-SAMPLE_LINES = 100
-
 
 def resolve_format(path_or_name: str) -> str:
     """Spark format of a file name, an extension with or without dot, or a format name."""
@@ -59,7 +57,7 @@ class TableSource:
     skip_rows: int = 0
     null_values: Sequence[str] = ()
     parse_dates: bool = False
-    sample_lines: int | None = SAMPLE_LINES
+    sample_lines: int | None = None  # types from so many first lines instead of all; a misfit below them raises
     options: Mapping[str, str] = field(default_factory=dict)
 
     @property
@@ -91,21 +89,37 @@ class TableSource:
             "encoding": self.encoding,
             "ignoreLeadingWhiteSpace": "false",
             "ignoreTrailingWhiteSpace": "false",
+            "mode": "FAILFAST",  # a value that does not fit its type is an error, never a silent null
         }
         if self.null_values:
             options["nullValue"] = self.null_values[0]
         return options | dict(self.options)
 
     def _sampled_schema(self, spark: SparkSession) -> T.StructType:
-        """Types from the first lines; dates stay text unless asked for."""
-        if self.sample_lines is None:
+        """Types from all lines, or the first `sample_lines`; dates stay text unless asked for."""
+        if self.sample_lines is None and not self.skip_rows:
             sample = self.path
+        elif self.sample_lines is None:
+            lines = self._body(spark, self.skip_rows)
+            header = spark.read.option("encoding", self.encoding).text(self.path).limit(self.skip_rows + 1).collect()
+            names = header[-1][0] if self.header and len(header) > self.skip_rows else None
+            # Lines in any order: the header is only used for its names.
+            inferred = spark.read.options(**self._csv_options()).option("inferSchema", True)
+            body = lines.where(F.col("value") != names) if names is not None else lines
+            schema = inferred.option("header", False).csv(body.rdd.map(lambda r: r[0])).schema
+            if names is not None:
+                named = spark.read.options(**self._csv_options()).option("header", True)
+                labels = named.csv(spark.sparkContext.parallelize([names], 1)).columns
+                schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(labels, schema)])
+            return self._without_dates(schema)
         else:
             lines = spark.read.option("encoding", self.encoding).text(self.path)
             head = lines.limit(self.skip_rows + 1 + self.sample_lines).collect()
             sample = spark.sparkContext.parallelize([r[0] for r in head[self.skip_rows :]], 1)
         reader = spark.read.options(**self._csv_options()).option("inferSchema", True)
-        schema = reader.option("header", self.header).csv(sample).schema
+        return self._without_dates(reader.option("header", self.header).csv(sample).schema)
+
+    def _without_dates(self, schema: T.StructType) -> T.StructType:
         if self.parse_dates:
             return schema
         temporal = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -139,7 +153,12 @@ class TableSource:
 
     def _parsed_lines(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
         """CSV after the first `skip_rows` lines (and the header) of each file."""
-        skipped = self.skip_rows + (1 if self.header else 0)
+        body = self._body(spark, self.skip_rows + (1 if self.header else 0))
+        parsed = body.select(F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), self._csv_options()).alias("r"))
+        return parsed.select("r.*")
+
+    def _body(self, spark: SparkSession, skipped: int) -> DataFrame:
+        """The lines (`value`) after the first `skipped` of each file."""
         lines = (
             spark.read.option("encoding", self.encoding)
             .text(self.path)
@@ -152,11 +171,9 @@ class TableSource:
         )
         # Ids are consecutive within a block, so a line's place follows from the file's first id.
         first = lines.where("start = 0").groupBy("file").agg(F.min("id").alias("first"))
-        body = lines.join(first, "file").where(
+        return lines.join(first, "file").where(
             (F.col("start") > 0) | (F.col("id") - F.col("first") >= skipped)
-        )
-        parsed = body.select(F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), self._csv_options()).alias("r"))
-        return parsed.select("r.*")
+        ).select("value")
 
 
 @dataclass(frozen=True)

@@ -90,3 +90,25 @@ def union_sources(
     if columns is not None:
         frames = [frame.select(*columns) for frame in frames]
     return union_frames(frames, how)
+
+
+def union_row_ids(
+    sources: Sequence[str], tables: Mapping[str, DataFrame], row_id: str
+) -> dict[str, DataFrame]:
+    """`tables` with ids of `sources` that are unique over their union, if each is unique in its own table.
+
+    Ingestion numbers every source from 0. The id n of the i-th of k sources becomes n * k + i, so
+    the registry written for the union and a later deduplication of it name the same rows.
+    """
+    k = len(sources)
+    numbered = {
+        name: tables[name].withColumn(row_id, F.col(row_id).cast("bigint") * k + i) for i, name in enumerate(sources)
+    }
+    return {**tables, **numbered}
+
+
+def require_unique(rows: DataFrame, row_id: str) -> None:
+    """Raise if an id is null or names two rows."""
+    repeated = rows.groupBy(row_id).count().where((F.col("count") > 1) | F.col(row_id).isNull())
+    if not repeated.isEmpty():
+        raise ValueError(f"{row_id!r} does not name rows: it repeats or is null")

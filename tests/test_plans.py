@@ -100,6 +100,24 @@ def test_deduplicate_a_union_of_prepared_sources(spark, frame, tmp_path):
     assert target.read(spark).count() == 2
 
 
+def test_union_of_sources_that_both_count_from_zero(spark, frame):
+    from plumbline.plans.assessment import KeyRule, Rulebook, violations
+    from plumbline.sources.unions import union_row_ids
+
+    a = frame([(0, "Ann"), (1, "Cy"), (2, "Di"), (3, "Ed")], "row_id bigint, name string")
+    b = frame([(0, "Bo"), (1, "Flo"), (2, "Ann"), (3, "Gus")], "row_id bigint, name string")
+    rules = Rulebook(keys=[KeyRule(("a", "b"), ("name",))])
+    with pytest.raises(ValueError):
+        violations({"a": a, "b": b}, rules, {"a": "row_id", "b": "row_id"})
+    tables = union_row_ids(["a", "b"], {"a": a, "b": b}, "row_id")
+    failing = violations(tables, rules, {"a": "row_id", "b": "row_id"})
+    errors = failing.select("row_id", "source", "column_name")
+    with pytest.raises(ValueError):
+        repair.deduplicate_sources(["a", "b"], {"a": a, "b": b}, errors)
+    result = repair.deduplicate_sources(["a", "b"], tables, errors)
+    assert sorted(r["name"] for r in result.deduped.collect()) == ["Ann", "Bo", "Cy", "Di", "Ed", "Flo", "Gus"]
+
+
 def test_all_repairs_of_a_table_in_order(frame):
     rows = [(0, "u", 900, 1000, 18000.0), (1, "u", 900, 1000, 18000.0), (2, "v", 900, 1100, None), (3, "w", 950, 1200, 2000.0)]
     data = frame(rows, "row_id bigint, name string, low bigint, mid bigint, high double")

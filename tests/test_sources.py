@@ -223,3 +223,20 @@ def test_a_second_run_replaces_failing_rows_and_appends_metrics(spark, shop, tmp
     assert sorted(r["completeness_percent"] for r in history.collect()) == [0.75, 1.0]
     metrics.views(spark, ["completeness"], "v_")
     assert spark.sql("SELECT max(timestamp) AS t FROM v_completeness").first()["t"] == dt.datetime(2026, 4, 1)
+
+
+@pytest.mark.parametrize("skip", [0, 2])
+def test_a_misfit_far_down_is_text_or_an_error(spark, tmp_path, skip):
+    path = tmp_path / "codes.csv"
+    path.write_text("note\n" * skip + "code\n" + "\n".join(str(91000 + i) for i in range(150)) + "\n91000a\n")
+    read = tb.TableSource(str(path), skip_rows=skip).read(spark)
+    assert dict(read.dtypes) == {"code": "string"}
+    assert read.where("code = '91000a'").count() == 1 and read.where("code is null").count() == 0
+    for source in (
+        tb.TableSource(str(path), skip_rows=skip, schema="code int"),
+        tb.TableSource(str(path), skip_rows=skip, sample_lines=100),
+    ):
+        with pytest.raises(Exception, match="MALFORMED|91000a|FAILFAST"):
+            source.read(spark).collect()
+    lenient = tb.TableSource(str(path), skip_rows=skip, schema="code int", options={"mode": "PERMISSIVE"})
+    assert lenient.read(spark).where("code is null").count() == 1
