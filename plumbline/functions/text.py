@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -80,6 +83,28 @@ def fold_accents_any_script(values: pd.Series) -> pd.Series:
     return values.str.normalize("NFKD").str.replace(COMBINING_MARKS, "", regex=True)
 
 
+@dataclass(frozen=True)
+class Expansion:
+    """What to read out of a text: a pattern and perhaps a type per new column. Checked when built."""
+
+    patterns: tuple[tuple[str, str], ...]
+    types: Mapping[str, str | T.DataType] = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        times = Counter(name for name, _ in self.patterns)
+        faults = {
+            "repeated column names": [n for n in times if times[n] > 1],
+            "types for columns that are not extracted": [n for n in self.types if n not in times],
+        }
+        if said := "; ".join(f"{fault}: {names}" for fault, names in faults.items() if names):
+            raise ValueError(said)
+
+    def columns(self, text: Column, finish: Callable[[Column], Column]) -> dict[str, Column]:
+        """The new columns by name; `finish` is applied to what a pattern finds, before the cast."""
+        found = {name: finish(extract(text, pattern)) for name, pattern in self.patterns}
+        return found | {name: found[name].cast(target) for name, target in self.types.items()}
+
+
 def expand_column(
     df: DataFrame,
     column: str,
@@ -94,24 +119,9 @@ def expand_column(
     `replacements` (pattern, literal text) are applied first. `normalize` upper-cases and folds
     accents. `types` casts results; under ANSI a value that does not fit raises.
     """
-    names = [name for name, _ in extractions]
-    if len(set(names)) != len(names):
-        raise ValueError(f"repeated column names in extractions: {names}")
-    types = dict(types or {})
-    if unknown := sorted(set(types) - set(names)):
-        raise ValueError(f"types for columns that are not extracted: {unknown}")
-
-    text = F.col(column)
-    for pattern, replacement in replacements:
-        text = replace_literal(text, pattern, replacement)
-
-    added = {}
-    for name, pattern in extractions:
-        value = extract(text, pattern)
-        if normalize:
-            value = fold(F.upper(value))
-        added[name] = value.cast(types[name]) if name in types else value
-    return df.withColumns(added)
+    wanted = Expansion(tuple(extractions), types or {})
+    text = reduce(lambda so_far, change: replace_literal(so_far, *change), replacements, F.col(column))
+    return df.withColumns(wanted.columns(text, (lambda v: fold(F.upper(v))) if normalize else (lambda v: v)))
 
 
 def cast_columns(
@@ -119,16 +129,10 @@ def cast_columns(
 ) -> Callable[[DataFrame], DataFrame]:
     """A transform that casts `columns`, on text after replacing a pattern."""
 
-    def cast(df: DataFrame) -> DataFrame:
-        casts = {}
-        for name in columns:
-            value = F.col(name)
-            if replacement and isinstance(df.schema[name].dataType, T.StringType):
-                value = replace_literal(value, *replacement)
-            casts[name] = value.cast(target)
-        return df.withColumns(casts)
+    def cleaned(kind: T.DataType, value: Column) -> Column:
+        return replace_literal(value, *replacement) if replacement and isinstance(kind, T.StringType) else value
 
-    return cast
+    return lambda df: df.withColumns({c: cleaned(df.schema[c].dataType, F.col(c)).cast(target) for c in columns})
 
 
 def compact(column: Column, limit: int = 64) -> Column:
