@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame
@@ -26,6 +27,7 @@ UNIQUENESS = "uniqueness"
 FORMAT = "format"
 LABELS = "labels"
 INTERVAL = "interval"
+GROUPED_COLUMNS = 60  # grouping_id() is a 64-bit number
 
 
 def run_timestamp(at: datetime | str | None = None) -> Column:
@@ -229,13 +231,26 @@ def key_label(columns: Sequence[str]) -> str:
     return ", ".join(sorted(columns))
 
 
+def _key_batches(key_sets: Sequence[list[str]]) -> list[list[list[str]]]:
+    """The key sets in order, cut where together they would have too many columns for one grouping id."""
+    batches: list[list[list[str]]] = []
+    columns: set[str] = set()
+    for keys in key_sets:
+        if not batches or len(columns | set(keys)) > GROUPED_COLUMNS:
+            batches.append([])
+            columns = set()
+        batches[-1].append(keys)
+        columns |= set(keys)
+    return batches
+
+
 def uniqueness(
     df: DataFrame, key_sets: Sequence[Sequence[str]], source: str, timestamp
 ) -> DataFrame:
     """(source, column_name, columns, uniqueness_percent, timestamp), one row per key set.
 
     Every member of a repeated key fails; null is an ordinary value. All key sets are grouped in
-    one pass over the table: only (key, count) pairs are shuffled.
+    one pass over the table (one per `GROUPED_COLUMNS` different columns): only (key, count) pairs are shuffled.
     """
     if not isinstance(timestamp, Column):
         timestamp = run_timestamp(timestamp)
@@ -243,10 +258,23 @@ def uniqueness(
     labels = [key_label(keys) for keys in key_sets]
     if len(set(labels)) != len(labels):
         raise ValueError(f"repeated key sets: {labels}")
-    every = sorted({c for keys in key_sets for c in keys})
-    grouped = compact_texts(df.select(*every), every).groupingSets([[F.col(c) for c in keys] for keys in key_sets], *every).agg(
-        F.grouping_id().alias("gid"), F.count(F.lit(1)).alias(COUNT)
+    return reduce(
+        DataFrame.unionByName, [_uniqueness_of(df, batch, source, timestamp) for batch in _key_batches(key_sets)]
     )
+
+
+def _uniqueness_of(
+    df: DataFrame, key_sets: Sequence[list[str]], source: str, timestamp: Column
+) -> DataFrame:
+    labels = [key_label(keys) for keys in key_sets]
+    every = sorted({c for keys in key_sets for c in keys})
+    rows_of = compact_texts(df.select(*every), every)
+    if len(key_sets) == 1:  # any number of columns
+        grouped = rows_of.groupBy(*every).agg(F.lit(0).cast("bigint").alias("gid"), F.count(F.lit(1)).alias(COUNT))
+    else:
+        grouped = rows_of.groupingSets([[F.col(c) for c in keys] for keys in key_sets], *every).agg(
+            F.grouping_id().alias("gid"), F.count(F.lit(1)).alias(COUNT)
+        )
     per_set = grouped.groupBy("gid").agg(
         F.sum(COUNT).alias("total"),
         F.sum(F.when(F.col(COUNT) > 1, F.col(COUNT)).otherwise(0)).alias("failed"),

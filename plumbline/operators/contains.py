@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.text import strip, tags
 from plumbline.operators.skew import COUNT, spread_join
+from plumbline.session import checkpoint
 
 GRAM_LENGTHS = (1, 3, 6, 12)  # bytes; a tag is looked up by the longest of these that fits into it
 MAX_BROADCAST_GRAMS = 1_000_000  # checked by a count; beyond it the lookup is a shuffle join
@@ -192,14 +193,18 @@ def contains_join(
         pairs = matching_values(right, right_column, left, left_column).select(
             F.col("__ref_digest").alias(LEFT), F.col("__tag_digest").alias(RIGHT)
         )
-    # Both joins read plain shuffles, so AQE splits a hot value by itself. A digest fixes the raw
-    # value and pairs are distinct, hence no row pair can come out twice.
+    # A digest fixes the raw value and pairs are distinct, hence no row pair can come out twice. Both joins are
+    # inner joins of plain shuffles, whose two sides AQE splits where a value is hot. An outer join could
+    # not split the side of the pairs, so rows without a partner are added by an anti join.
     left_rows = _renamed(left, "__l", _digest(left_column).alias(LEFT))
     right_rows = _renamed(right, "__r", _digest(right_column).alias(RIGHT))
-    if how == "right":
-        joined = right_rows.join(pairs, RIGHT, "left").join(left_rows, LEFT, "left")
-    else:
-        joined = left_rows.join(pairs, LEFT, how).join(right_rows, RIGHT, how)
+    if how != "inner":
+        pairs = checkpoint(pairs)  # read twice
+    joined = left_rows.join(pairs, LEFT).join(right_rows, RIGHT)
+    if how != "inner":
+        preserved, digest = (left_rows, LEFT) if how == "left" else (right_rows, RIGHT)
+        alone = preserved.join(pairs.select(digest).distinct(), digest, "left_anti")
+        joined = joined.unionByName(alone, allowMissingColumns=True)
     return joined.select(
         *(F.col(f"__l{i}").alias(c) for i, c in enumerate(left.columns)),
         *(

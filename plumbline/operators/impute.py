@@ -2,26 +2,30 @@
 
 In round-robin regression every imputed value is a linear function of the observed values of its
 row, and which function depends only on which columns are missing. So sums of products per missing
-pattern are all that is needed: one pass collects them (at most 2^columns small matrices), every
-round is matrix algebra on the driver, and one projection fills the gaps. The number of rounds
-costs no further pass.
+pattern are all that is needed, and the table is read once for them. Of few columns the at most
+2^columns small matrices are collected, every round is matrix algebra on the driver, and one
+projection fills the gaps; of many columns they stay distributed and every step adds them up.
 
-Regression: Bayesian ridge (MacKay 1992, Tipping 2001), from sums of products as well.
+Regression: Bayesian ridge (MacKay 1992, Tipping 2001) or least squares, from sums of products as well.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.numbers import number
+from plumbline.session import Checkpoints
 
 ROUNDS = 10
-MAX_COLUMNS = 12  # bounds the missing patterns by 4096
+FEW_COLUMNS = 12  # at most 4096 missing patterns, which fit on the driver
+FILLED = "__filled"
 
 
 def bayesian_ridge(
@@ -51,109 +55,193 @@ def bayesian_ridge(
     return solve()
 
 
-def _pattern(values: dict[str, Column]) -> Column:
+def least_squares(xx: np.ndarray, xy: np.ndarray, yy: float, n: float) -> np.ndarray:
+    """Coefficients from centred sums of products; the shortest ones where columns depend on each other."""
+    return np.linalg.pinv(xx, hermitian=True) @ xy
+
+
+REGRESSIONS = {"bayesian_ridge": bayesian_ridge, "least_squares": least_squares}
+Solver = Callable[[np.ndarray, np.ndarray, float, float], np.ndarray]
+Step = tuple[int, np.ndarray, float]  # the column imputed, its slopes on all columns, its intercept
+
+
+def _pattern(values: Sequence[Column]) -> Column:
     """Bit i is set where column i is missing."""
-    bits = [F.when(v.isNull(), 1 << i).otherwise(0) for i, v in enumerate(values.values())]
+    bits = [F.when(v.isNull(), 1 << i).otherwise(0) for i, v in enumerate(values)]
     return sum(bits[1:], bits[0])
 
 
-def _pattern_sums(
-    df: DataFrame, values: dict[str, Column], center: np.ndarray, scale: np.ndarray
-) -> dict[int, np.ndarray]:
-    """Per missing pattern: sums of products of (1, standardised values), missing ones as 0."""
-    d = len(values)
-    data = df.select(
-        _pattern(values).alias("pattern"),
-        *(
-            F.coalesce((v - float(center[i])) / float(scale[i]), F.lit(0.0)).alias(f"z{i}")
-            for i, v in enumerate(values.values())
-        ),
-    )
-    sums = [F.count(F.lit(1)).alias("n")]
-    sums += [F.sum(f"z{i}").alias(f"s{i}") for i in range(d)]
-    sums += [F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"p{i}_{j}") for i in range(d) for j in range(i, d)]
-    patterns = {}
-    for row in data.groupBy("pattern").agg(*sums).collect():
-        gram = np.zeros((d + 1, d + 1))
-        gram[0, 0] = row["n"]
-        for i in range(d):
-            gram[0, i + 1] = gram[i + 1, 0] = row[f"s{i}"]
-            for j in range(i, d):
-                gram[i + 1, j + 1] = gram[j + 1, i + 1] = row[f"p{i}_{j}"]
-        patterns[row["pattern"]] = gram
-    return patterns
+def _marks(values: Sequence[Column]) -> Column:
+    """As `_pattern` for any number of columns: one character each, 1 where the value is missing."""
+    return F.concat(*(F.when(v.isNull(), "1").otherwise("0") for v in values))
+
+
+def _pattern_sums(df: DataFrame, pattern: Column, standard: Sequence[Column]) -> DataFrame:
+    """(pattern, sums): sums of products of (1, standardised values), missing ones as 0, row by row of the upper half."""
+    known = [F.coalesce(v, F.lit(0.0)).alias(f"z{i}") for i, v in enumerate(standard)]
+    data = df.select(pattern.alias("pattern"), F.lit(1.0).alias("one"), *known)
+    names = ["one", *(f"z{i}" for i in range(len(standard)))]
+    products = [
+        F.sum(F.col(a) * F.col(b)).alias(f"{a}_{b}") for i, a in enumerate(names) for b in names[i:]
+    ]
+    summed = data.groupBy("pattern").agg(*products)
+    return summed.select("pattern", F.array(*(c for c in summed.columns if c != "pattern")).alias("sums"))
+
+
+def _square(sums: Sequence[float], d: int) -> np.ndarray:
+    upper = np.zeros((d + 1, d + 1))
+    upper[np.triu_indices(d + 1)] = sums
+    return upper + np.triu(upper, 1).T
+
+
+def _line(known: np.ndarray, j: int, scale: np.ndarray, solve: Solver) -> Step:
+    """The regression of column j on the others, from the sums of products of the rows that know it."""
+    d = len(scale)
+    n, means = known[0, 0], known[0, 1:] / known[0, 0]
+    covariance = (known[1:, 1:] - n * np.outer(means, means)) * np.outer(scale, scale)
+    others = [k for k in range(d) if k != j]
+    raw = solve(covariance[np.ix_(others, others)], covariance[others, j], covariance[j, j], n)
+    slopes = np.zeros(d)
+    slopes[others] = raw * scale[others] / scale[j]
+    return j, slopes, means[j] - slopes @ means
+
+
+def _start(missing: Sequence[bool]) -> np.ndarray:
+    # Missing entries start at the mean, which is 0 after standardising.
+    return np.diag([1.0] + [0.0 if gone else 1.0 for gone in missing])
+
+
+def _advance(matrix: np.ndarray, step: Step) -> None:
+    j, slopes, intercept = step
+    matrix[j + 1] = slopes @ matrix[1:]
+    matrix[j + 1, 0] += intercept
 
 
 def _chain(
-    patterns: dict[int, np.ndarray], d: int, scale: np.ndarray, rounds: int
+    patterns: dict[int, np.ndarray], order: Sequence[int], scale: np.ndarray, rounds: int, solve: Solver
 ) -> dict[int, np.ndarray]:
     """Per pattern the matrix taking (1, observed values) to (1, all values)."""
-    # Missing entries start at the mean, which is 0 after standardising.
-    maps = {p: np.diag([1.0] + [0.0 if p >> i & 1 else 1.0 for i in range(d)]) for p in patterns}
-    missing = [sum(g[0, 0] for p, g in patterns.items() if p >> i & 1) for i in range(d)]
-    order = [i for i in np.argsort(missing, kind="stable") if missing[i] > 0]
+    maps = {p: _start([p >> i & 1 for i in range(len(scale))]) for p in patterns}
     for _ in range(rounds):
         for j in order:
-            known = sum(
-                maps[p] @ gram @ maps[p].T for p, gram in patterns.items() if not p >> j & 1
-            )
-            n, means = known[0, 0], known[0, 1:] / known[0, 0]
-            covariance = (known[1:, 1:] - n * np.outer(means, means)) * np.outer(scale, scale)
-            others = [k for k in range(d) if k != j]
-            raw = bayesian_ridge(
-                covariance[np.ix_(others, others)], covariance[others, j], covariance[j, j], n
-            )
-            slopes = np.zeros(d)
-            slopes[others] = raw * scale[others] / scale[j]
-            intercept = means[j] - slopes @ means
+            known = sum(maps[p] @ gram @ maps[p].T for p, gram in patterns.items() if not p >> j & 1)
+            step = _line(known, j, scale, solve)
             for p in patterns:
                 if p >> j & 1:
-                    row = slopes @ maps[p][1:, :]
-                    row[0] += intercept
-                    maps[p][j + 1, :] = row
+                    _advance(maps[p], step)
     return maps
 
 
-def impute(df: DataFrame, columns: Sequence[str], rounds: int = ROUNDS) -> DataFrame:
+def _known_sums(table: DataFrame, steps: Sequence[Step], j: int, d: int) -> np.ndarray:
+    """Sums of products over the rows that know column j, all gaps filled by the steps so far.
+
+    One matrix a task, added up by an aggregation; the patterns stay in Spark however many there are.
+    """
+    steps = list(steps)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((d + 1, d + 1))
+        for batch in batches:
+            for marks, sums in zip(*(c.to_pylist() for c in batch.columns)):
+                if marks[j] == "1":
+                    continue
+                matrix = _start([m == "1" for m in marks])
+                for step in steps:
+                    if marks[step[0]] == "1":
+                        _advance(matrix, step)
+                total += matrix @ _square(sums, d) @ matrix.T
+        flat = total[np.triu_indices(d + 1)].tolist()
+        yield pa.RecordBatch.from_arrays([pa.array([flat], pa.list_(pa.float64()))], names=["sums"])
+
+    places = table.mapInArrow(run, "sums array<double>").select(F.posexplode("sums").alias("at", "part"))
+    added = places.groupBy("at").agg(F.sum("part").alias("all")).collect()
+    return _square([r["all"] for r in sorted(added, key=lambda r: r["at"])], d)
+
+
+def _filled_by_steps(standard: Sequence[Column], steps: Sequence[Step]) -> Column:
+    """All standardised values of a row as an array, gaps filled by taking the steps in turn."""
+    steps = list(steps)
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def fill(rows: pd.Series) -> pd.Series:
+        if rows.empty:
+            return rows
+        values = np.array([np.asarray(row, dtype=float) for row in rows])
+        missing = np.isnan(values)
+        values[missing] = 0.0
+        for j, slopes, intercept in steps:
+            gaps = missing[:, j]
+            values[gaps, j] = values[gaps] @ slopes + intercept
+        return pd.Series(list(values))
+
+    return fill(F.array(*standard))
+
+
+def impute(
+    df: DataFrame, columns: Sequence[str], rounds: int = ROUNDS, regression: str = "bayesian_ridge"
+) -> DataFrame:
     """Fill the nulls of the numeric `columns` from the others; known values and types stay.
 
-    Text columns such as "16 800" serve as predictors only. Integer columns are rounded.
+    Text columns such as "16 800" serve as predictors only. Integer columns are rounded. `regression` is
+    bayesian_ridge or least_squares. Up to `FEW_COLUMNS` columns the whole chain is one aggregation; with
+    more, the missing patterns may be as many as the rows, so they stay in Spark and every step is an aggregation
+    over them. Both give the same values.
     """
     columns = list(columns)
-    if len(columns) > MAX_COLUMNS:
-        raise ValueError(f"at most {MAX_COLUMNS} columns at a time")
-    values = {c: number(df, c) for c in columns}
+    if regression not in REGRESSIONS:
+        raise ValueError(f"regression must be one of {sorted(REGRESSIONS)}, not {regression!r}")
+    solve, d = REGRESSIONS[regression], len(columns)
+    values = [number(df, c) for c in columns]
     stats = df.agg(
-        *(F.avg(v).alias(f"m{i}") for i, v in enumerate(values.values())),
-        *(F.stddev_pop(v).alias(f"s{i}") for i, v in enumerate(values.values())),
+        *(F.avg(v).alias(f"m{i}") for i, v in enumerate(values)),
+        *(F.stddev_pop(v).alias(f"s{i}") for i, v in enumerate(values)),
+        *(F.count_if(v.isNull()).alias(f"n{i}") for i, v in enumerate(values)),
     ).first()
     if empty := [c for i, c in enumerate(columns) if stats[f"m{i}"] is None]:
         raise ValueError(f"columns without any value: {empty}")
-    center = np.array([stats[f"m{i}"] for i in range(len(columns))])
-    scale = np.array([stats[f"s{i}"] or 1.0 for i in range(len(columns))])
-    patterns = _pattern_sums(df, values, center, scale)
-    if set(patterns) <= {0}:
+    center = [float(stats[f"m{i}"]) for i in range(d)]
+    scale = np.array([stats[f"s{i}"] or 1.0 for i in range(d)])
+    missing = [stats[f"n{i}"] for i in range(d)]
+    order = [int(i) for i in np.argsort(missing, kind="stable") if missing[i]]
+    if not order:
         return df
-    maps = _chain(patterns, len(columns), scale, rounds)
+    standard = [(v - center[i]) / float(scale[i]) for i, v in enumerate(values)]
+
+    if d <= FEW_COLUMNS:
+        sums = _pattern_sums(df, _pattern(values), standard).collect()
+        maps = _chain({r["pattern"]: _square(r["sums"], d) for r in sums}, order, scale, rounds, solve)
+
+        def guess(j: int) -> Column:
+            table = F.create_map(
+                *(
+                    x for p, matrix in maps.items() if p >> j & 1
+                    for x in (F.lit(p), F.array(*(F.lit(float(v)) for v in matrix[j + 1])))
+                )
+            )
+            row = F.element_at(table, _pattern(values))
+            terms = [F.element_at(row, i + 2) * F.coalesce(z, F.lit(0.0)) for i, z in enumerate(standard)]
+            return sum(terms, F.element_at(row, 1))
+    else:
+        kept = Checkpoints(df.sparkSession)
+        table = kept.write(_pattern_sums(df, _marks(values), standard))
+        steps: list[Step] = []
+        for _ in range(rounds):
+            for j in order:
+                steps.append(_line(_known_sums(table, steps, j, d), j, scale, solve))
+        kept.drop(table)
+        df = df.withColumn(FILLED, _filled_by_steps(standard, steps))
+
+        def guess(j: int) -> Column:
+            return F.col(FILLED)[j]
 
-    pattern = _pattern(values)
     filled = {}
-    for j, c in enumerate(columns):
-        data_type = df.schema[c].dataType
-        gaps = [p for p in maps if p >> j & 1]
-        if not gaps or not isinstance(data_type, T.NumericType):
+    for j in sorted(order):
+        data_type = df.schema[columns[j]].dataType
+        if not isinstance(data_type, T.NumericType):
             continue
-        table = F.create_map(
-            *(x for p in gaps for x in (F.lit(p), F.array(*(F.lit(float(v)) for v in maps[p][j + 1]))))
-        )
-        row = F.element_at(table, pattern)
-        guess = F.element_at(row, 1)
-        for i, v in enumerate(values.values()):
-            guess = guess + F.element_at(row, i + 2) * F.coalesce(
-                (v - float(center[i])) / float(scale[i]), F.lit(0.0)
-            )
-        guess = guess * float(scale[j]) + float(center[j])
+        value = guess(j) * float(scale[j]) + center[j]
         if isinstance(data_type, T.IntegralType):
-            guess = F.round(guess)
-        filled[c] = F.when(F.col(c).isNotNull(), F.col(c)).otherwise(guess.cast(data_type))
-    return df.withColumns(filled)
+            value = F.round(value)
+        own = F.col(columns[j])
+        filled[columns[j]] = F.when(own.isNotNull(), own).otherwise(value.cast(data_type))
+    return df.withColumns(filled).drop(FILLED)

@@ -112,3 +112,14 @@ def test_timestamp_is_shared_and_utc(frame):
     at = datetime(2026, 3, 1, 14, tzinfo=timezone(timedelta(hours=2)))
     row = checks.completeness(frame([(1,)], "a int"), ["a"], "s", at).first()
     assert row["timestamp"] == datetime(2026, 3, 1, 12)
+
+
+def test_uniqueness_over_any_number_of_columns(frame):
+    names = [f"c{i:03}" for i in range(130)]
+    rows = [tuple(i if j == 129 else i // 2 for j in range(130)) for i in range(4)]
+    df = frame(rows, ", ".join(f"{n} int" for n in names))
+    sets = [[n] for n in names] + [names, names[:129]]
+    found = {r["column_name"]: r["uniqueness_percent"] for r in checks.uniqueness(df, sets, "s", AT).collect()}
+    assert len(found) == 132
+    assert found[", ".join(names)] == found["c129"] == 1.0
+    assert found[", ".join(names[:129])] == found["c000"] == 0.0

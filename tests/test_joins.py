@@ -137,3 +137,11 @@ def test_expanded_foreign_key_needs_all_keys_together(frame):
         left, right, "address", ADDRESS_PARTS, [], keys, ("l", "r"), ["id"]
     )
     assert sorted(r["id"] for r in bad.collect()) == [2, 3, 4]
+
+
+@pytest.mark.parametrize("how", ["left", "right"])
+def test_outer_substring_join_has_no_outer_join(tags, refs, how):
+    """Spark cannot split the other side of an outer join where a tag is hot."""
+    joined = contains_join(tags, refs, "tags", "ref", how=how)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "LeftOuter" not in plan and "RightOuter" not in plan

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from plumbline.operators import dispersion as d
+from plumbline.operators import impute as imputation
 from plumbline.operators import rescale as r
 from plumbline.operators.impute import bayesian_ridge, impute
 from plumbline.operators.quantiles import exact_quantiles, theil_sen
@@ -199,6 +200,32 @@ def test_imputation_from_sums_equals_imputation_by_rows(spark, frame):
     assert got == pytest.approx(by_rows(x, 10), rel=1e-6, abs=1e-6)
 
 
+@pytest.mark.parametrize("few", [0, 12])
+def test_imputation_of_many_columns_equals_row_by_row(frame, monkeypatch, few):
+    rng = np.random.default_rng(5)
+    d = 4 if few else 14
+    x = rng.normal(size=(120, 3)) @ rng.normal(size=(3, d)) + rng.normal(scale=0.3, size=(120, d))
+    x[rng.random((120, d)) < 0.05] = np.nan
+    x[:, 0] = np.arange(120.0)
+    x[0] = np.nan_to_num(x[0], nan=0.5)
+    names = [f"c{i}" for i in range(d)]
+    rows = [tuple(None if np.isnan(v) else float(v) for v in row) for row in x]
+    if few:  # the way for many columns gives the same on few
+        monkeypatch.setattr(imputation, "FEW_COLUMNS", 1)
+    out = impute(frame(rows, ", ".join(f"{n} double" for n in names)), names, rounds=2).orderBy("c0")
+    got = np.array([tuple(row) for row in out.collect()])
+    assert out.columns == names
+    assert got == pytest.approx(by_rows(x, 2), rel=1e-6, abs=1e-6)
+
+
+def test_imputation_by_least_squares(frame):
+    rows = [(1.0, 3.0), (2.0, 5.0), (3.0, None), (4.0, 9.0)]
+    out = impute(frame(rows, "a double, b double"), ["a", "b"], regression="least_squares").orderBy("a")
+    assert out.collect()[2]["b"] == pytest.approx(7.0)
+    with pytest.raises(ValueError, match="regression"):
+        impute(frame(rows, "a double, b double"), ["a", "b"], regression="none")
+
+
 def test_imputation_edges(frame):
     full = frame([(1, 2.0)], "a int, b double")
     assert impute(full, ["a", "b"]) is full

@@ -251,3 +251,29 @@ def _mice(t: Tables):
         F.round(F.avg("price"), 4).alias("mean_price"),
         F.sum("tax").alias("tax"),
     )
+
+
+SQL_GAPPED_PRICES = f"""(SELECT l_orderkey, l_linenumber, l_quantity,
+    {sql_gap('(l_orderkey + l_partkey)', 7, 'l_extendedprice')} AS price FROM lineitem)"""
+
+
+@register(
+    "impute_line",
+    f"""WITH d AS {SQL_GAPPED_PRICES}, line AS (
+      SELECT regr_slope(price, l_quantity) AS slope, regr_intercept(price, l_quantity) AS base FROM d)
+    SELECT l_linenumber, count(*) AS n, round(avg(coalesce(price, base + slope * l_quantity)), 4) AS mean_price,
+      round(min(coalesce(price, base + slope * l_quantity)), 4) AS least,
+      round(max(CASE WHEN price IS NULL THEN base + slope * l_quantity END), 4) AS greatest_filled
+    FROM d, line GROUP BY l_linenumber""",
+)
+def _impute_line(t: Tables):
+    """One column with gaps: whatever the number of rounds, its regression line on the other column."""
+    known = F.when((F.col("l_orderkey") + F.col("l_partkey")) % 7 != 0, F.col("l_extendedprice"))
+    data = t.lineitem.select("l_linenumber", "l_quantity", known.alias("price"), known.isNull().alias("gap"))
+    filled = impute(data, ["l_quantity", "price"], regression="least_squares")
+    return filled.groupBy("l_linenumber").agg(
+        F.count("price").alias("n"),
+        F.round(F.avg("price"), 4).alias("mean_price"),
+        F.round(F.min("price"), 4).alias("least"),
+        F.round(F.max(F.when(F.col("gap"), F.col("price"))), 4).alias("greatest_filled"),
+    )

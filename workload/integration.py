@@ -169,14 +169,14 @@ def _union_stand_in(t: Tables):
 
 def _sql_upsert(pick: str) -> str:
     return f"""WITH b AS (SELECT 0 AS load, o_custkey AS id, o_orderkey AS event, o_totalprice AS v FROM orders
-      UNION ALL SELECT 1, l_suppkey, l_orderkey, l_extendedprice FROM lineitem WHERE l_linenumber = 1) {pick}"""
+      UNION ALL SELECT 1, l_suppkey, l_orderkey, l_extendedprice FROM lineitem) {pick}"""
 
 
 def _loads(t: Tables):
     first = t.orders.select(
         F.col("o_custkey").alias("id"), F.col("o_orderkey").alias("event"), F.col("o_totalprice").alias("v")
     )
-    second = t.lineitem.where("l_linenumber = 1").select(
+    second = t.lineitem.select(
         F.col("l_suppkey").alias("id"), F.col("l_orderkey").alias("event"), F.col("l_extendedprice").alias("v")
     )
     return first, second
