@@ -131,7 +131,7 @@ class LicenseScanner:
                 words = [w.decode() for w in ascii_words(phrase)]
                 entries.setdefault(f" {' '.join(words)} ", []).append((kind, label, len(words)))
         for key, found in entries.items():
-            self.automaton.add_word(key, (len(key), found))
+            self.automaton.add_word(key, found)
         self.automaton.make_automaton()
 
     def scan(self, text: str | None):
@@ -139,11 +139,13 @@ class LicenseScanner:
         words = ascii_words(text)
         joined = f" {b' '.join(words).decode('utf-8', 'surrogatepass')} "
         starts, base, labels, tagged = [], set(), set(), False
-        for end, (length, found) in self.automaton.iter(joined):
-            at = joined.count(" ", 0, end - length + 1)  # words before the phrase
-            for kind, label, _ in found:
+        blanks, counted = 0, 0  # blanks up to the place `counted`; matches come by their ends, so none is counted twice
+        for end, found in self.automaton.iter(joined):
+            blanks += joined.count(" ", counted, end + 1)
+            counted = end + 1
+            for kind, label, n in found:
                 if kind == "base":
-                    starts.append(at)
+                    starts.append(blanks - n - 1)  # the phrase has a blank before each word and one at its end
                     base.add(label)
                 elif kind == "notice":
                     labels.add(label)

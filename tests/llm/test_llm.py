@@ -324,6 +324,15 @@ def test_license_expressions(text, value, names):
     assert found.restriction == pytest.approx(value) and found.names == names
 
 
+def test_license_scan_of_a_long_text_full_of_phrases():
+    """Words are counted once over the whole text, not anew for each of its many places."""
+    scan = licenses.LicenseScanner(licenses.BASE_PHRASES, licenses.NOTICE_PHRASES).scan
+    n = 300_000
+    words, places, first, last, base, labels, _, _ = scan("x general public license " + "cc by é " * n)
+    assert (words, places, first, last) == (4 + 3 * n, n + 1, 1, 4 + 3 * (n - 1))
+    assert base == labels == "cc-by,gpl"
+
+
 def test_license_expressions_without_a_license():
     assert licenses.evaluate("OR MIT") is None and licenses.evaluate("") is None
 
