@@ -22,6 +22,7 @@ from plumbline.operators.rescale import (
     repair_dispersion,
     repair_position_ratio,
 )
+from plumbline.session import Checkpoints
 from plumbline.sources.tables import VersionedTable, stamp_row_id
 from plumbline.sources.unions import require_unique, union_sources
 
@@ -90,7 +91,7 @@ def deduplicate_sources(
             frames[name] = transform(frames[name])
     union = union_sources(list(sources), frames)
     if settings.row_id not in union.columns:
-        union = stamp_row_id(union, settings.row_id)
+        union = stamp_row_id(Checkpoints(union.sparkSession).write(union), settings.row_id)
     else:
         require_unique(union, settings.row_id)
     result = deduplicate(

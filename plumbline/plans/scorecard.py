@@ -39,13 +39,12 @@ DIMENSIONS = {
 
 
 def latest(history: DataFrame, keys: Sequence[str], timestamp: str = "timestamp") -> DataFrame:
-    """All rows of each rule at its last timestamp; ties are kept.
+    """All rows of each rule at its last timestamp; ties are kept, and null is an ordinary value of a key.
 
     One maximum per rule, then a join on rule and timestamp: unlike a window over the rule, this
     brings the old runs of a long-lived rule to no common task.
     """
-    last = history.groupBy(*keys).agg(F.max(timestamp).alias(timestamp))
-    return history.join(last, [*keys, timestamp], "left_semi")
+    return with_latest_flag(history, keys, timestamp, "__latest").where("__latest").drop("__latest")
 
 
 def with_latest_flag(

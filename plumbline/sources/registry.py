@@ -41,6 +41,8 @@ class ViolationStore:
         spark = violations.sparkSession
         seen = Observation()
         observed = violations.observe(seen, F.collect_set(F.struct(*PARTITIONS)).alias("pairs"))
+        # One or a few files per rule instead of one per rule and task; AQE splits what is large.
+        observed = observed.hint("rebalance", *(F.col(c) for c in PARTITIONS))
         observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             *PARTITIONS
         ).parquet(self.path)

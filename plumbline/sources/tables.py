@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.session import Checkpoints
 from plumbline.sources.files import Folder
 from plumbline.sources.unions import Mode, union_frames
 
@@ -300,7 +301,7 @@ def stamp_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
     """Dense 0-based ids in scan order, without collecting or sorting the table.
 
     Two scans: rows per partition first, their running sums as offsets second. Apply to a plain
-    file scan (as `ingest` does), whose partitions are the same in both; store the result.
+    scan of written files (as `ingest` does), whose partitions are the same in both; store the result.
     """
     from pyspark.sql import Window
 
@@ -323,15 +324,23 @@ def ingest(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     row_id: str | None = "row_id",
 ) -> None:
-    """Copy a source to a sink; fails if the source is missing. `row_id=None` stamps no ids."""
+    """Copy a source to a sink; fails if the source is missing. `row_id=None` stamps no ids.
+
+    Ids are stamped on rows that are written already: two evaluations of a plan that shuffles need not place
+    its rows alike.
+    """
     if not Folder(spark, source.path).exists():
         raise FileNotFoundError(source.path)
     df = source.read(spark)
     if transform is not None:
         df = transform(df)
-    if row_id is not None:
-        df = stamp_row_id(df, row_id)
-    sink.write(df)
+    if row_id is None:
+        sink.write(df)
+        return
+    kept = Checkpoints(spark)
+    written = kept.write(df)
+    sink.write(stamp_row_id(written, row_id))
+    kept.drop(written)
 
 
 def run_transform(

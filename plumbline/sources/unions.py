@@ -19,17 +19,25 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _common_type(types: Sequence[T.DataType]) -> T.DataType | None:
-    """Text if any type is text and the types differ, else None: Spark widens numbers by itself."""
-    distinct = {t.simpleString() for t in types}
-    return T.StringType() if len(distinct) > 1 and "string" in distinct else None
+def _widened(own: T.DataType, types: Sequence[T.DataType]) -> T.DataType | None:
+    """The type to cast to before a union of `types`: text if any is text, a number for a boolean among numbers.
+
+    None where nothing is to be done: Spark widens numbers by itself.
+    """
+    if len({t.simpleString() for t in types}) == 1:
+        return None
+    if any(isinstance(t, T.StringType) for t in types):
+        return T.StringType()
+    if isinstance(own, T.BooleanType) and any(isinstance(t, T.NumericType) for t in types):
+        return T.ByteType()
+    return None
 
 
 def union_frames(frames: Sequence[DataFrame], how: Mode = "vertical") -> DataFrame:
     """Union ALL of `frames`.
 
     vertical: same columns and types. vertical_relaxed: same columns, types widened (number and
-    text become text). diagonal: missing columns become null. diagonal_relaxed: both.
+    text become text, boolean and number a number). diagonal: missing columns become null. diagonal_relaxed: both.
     """
     frames = list(frames)
     if how not in ("vertical", "vertical_relaxed", "diagonal", "diagonal_relaxed"):
@@ -49,9 +57,10 @@ def union_frames(frames: Sequence[DataFrame], how: Mode = "vertical") -> DataFra
         if mixed:
             raise ValueError(f"types differ: {mixed}")
     else:
-        targets = {c: t for c, types in by_column.items() if (t := _common_type(types))}
         frames = [
-            f.withColumns({c: F.col(c).cast(t) for c, t in targets.items() if c in f.columns})
+            f.withColumns(
+                {g.name: F.col(g.name).cast(t) for g in f.schema if (t := _widened(g.dataType, by_column[g.name]))}
+            )
             for f in frames
         ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

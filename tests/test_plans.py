@@ -128,3 +128,10 @@ def test_all_repairs_of_a_table_in_order(frame):
     assert [r["row_id"] for r in out] == [0, 2, 3]
     assert out[0]["high"] == 1500.0 and out[1]["high"] is not None
     assert repair.complete(data, ["mid", "high"]).where("high is null").count() == 0
+
+
+def test_latest_takes_null_for_an_ordinary_key(frame):
+    rows = [("a", None, 1), ("a", None, 2), ("b", "c", 1)]
+    history = frame(rows, "source string, column_name string, timestamp int")
+    found = {tuple(r) for r in scorecard.latest(history, ["source", "column_name"]).collect()}
+    assert found == {("a", None, 2), ("b", "c", 1)}

@@ -240,3 +240,13 @@ def test_a_misfit_far_down_is_text_or_an_error(spark, tmp_path, skip):
             source.read(spark).collect()
     lenient = tb.TableSource(str(path), skip_rows=skip, schema="code int", options={"mode": "PERMISSIVE"})
     assert lenient.read(spark).where("code is null").count() == 1
+
+
+def test_relaxed_union_of_booleans_and_numbers(frame):
+    flags, numbers = frame([(True,), (None,)], "a boolean"), frame([(7,)], "a bigint")
+    out = union_frames([flags, numbers], "vertical_relaxed")
+    assert [r["a"] for r in out.collect()] == [1, None, 7]
+    assert [r["a"] for r in union_frames([flags, frame([("x",)], "a string")], "vertical_relaxed").collect()] == [
+        "true", None, "x",
+    ]
+    assert union_frames([flags, flags], "vertical_relaxed").schema["a"].dataType.simpleString() == "boolean"
