@@ -5,7 +5,9 @@ A word's vector is the mean of the vectors of its character n-grams and of the w
 fixed number of buckets, so a misspelling never seen shares most n-grams with its model. A window of words is the
 mean of its words' vectors, and the softmax is linear in it. A long text holds few toxic words, which a mean
 over all of it would drown; so each text is cut into windows of at most `WINDOW` words and judged by its most
-toxic one, in training as in scoring.
+toxic one. In training the windows of a document share its weight, equally at first; later those of a toxic
+document share it by a softmax of what the model says of them (Ilse et al., Attention-based Deep Multiple Instance
+Learning, 2018), for most of its windows are clean.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ MAX_CHARS = 20_000  # labelled documents longer than this are not learnt from; s
 BUCKETS, SIZE, WINDOW = 1 << 17, 8, 16
 GRAMS = (3, 4, 5)
 EPOCHS, BATCH, RATE, DECAY = 5, 64, 0.02, 0.5
+FIRST = 0.5  # share of the steps in which all windows of a toxic document are to blame alike
 MIN_STEPS = 200  # of the optimizer, however few documents there are
 MIN_DOCS = 5  # a subword of fewer sampled documents keeps a zero vector: it can only be learnt by heart
 THRESHOLD = 0.3
@@ -188,8 +191,10 @@ def train(texts: list[str], labels: np.ndarray, weight: np.ndarray) -> ToxicityM
             logits = mean @ output + bias
             lift = logits[:, 1] - logits[:, 0]
             p = 1 / (1 + np.exp(-lift))
-            share = weight[docs] / n_windows / len(docs)  # the windows of a document share its weight
-            error = ((p - labels[docs][doc]) * share[doc]).astype(np.float32)
+            share = 1 / n_windows[doc]  # the windows of a document share its weight
+            if step > FIRST * n_steps:
+                share = np.where(labels[docs][doc] == 1, _blame(lift, doc, n_windows), share)
+            error = ((p - labels[docs][doc]) * share * weight[docs][doc] / len(docs)).astype(np.float32)
             d_logits = np.column_stack([-error, error])
             d_mean = (d_logits @ output.T) * (SCALE / WINDOW)
             d_place = np.repeat(d_mean, sizes, axis=0) * once[:, None]
@@ -209,6 +214,13 @@ def train(texts: list[str], labels: np.ndarray, weight: np.ndarray) -> ToxicityM
     return ToxicityModel(lift * slope, bias)
 
 
+def _blame(lift: np.ndarray, doc: np.ndarray, n_windows: np.ndarray) -> np.ndarray:
+    """The softmax of the windows' lifts within each document."""
+    top = np.maximum.reduceat(lift, np.cumsum(n_windows) - n_windows)
+    e = np.exp(lift - top[doc])
+    return e / np.bincount(doc, e)[doc]
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """(slope, intercept) by damped Newton steps: what the most toxic window says about its document."""
     slope, base = 1.0, 0.0
