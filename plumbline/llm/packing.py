@@ -35,10 +35,11 @@ _CHUNK = 16_000_000  # characters encoded at a time
 class IdEncoder:
     """Ids of whole texts as arrays of unsigned 32-bit numbers: those of `tokenizers` for each text at once.
 
-    The byte-level pre-tokenizer always cuts before a single blank. So the distinct words of many texts are
-    encoded once, in one run whose words are told apart by the blank in front, and each text's ids are gathered
-    from them. `tiktoken` does it, which gives the same ids from the same vocabulary faster; texts that hold the
-    name of a special token go through `tokenizers`, texts with blanks in a row or at an end are encoded whole.
+    Ids are cut before a single blank, unless a token of the vocabulary goes on over it (as some do where blanks and
+    no-break spaces alternate). So the distinct words of many texts are encoded once, in one run whose words are
+    told apart by the blank in front, and each text's ids are gathered from them. `tiktoken` does it, which gives the
+    same ids from the same vocabulary faster; texts that hold the name of a special token go through `tokenizers`,
+    texts with blanks in a row or at an end, or what a token with a blank inside says, are encoded whole.
     """
 
     def __init__(self, path: str | None = None, ranks: str | None = None) -> None:
@@ -55,6 +56,9 @@ class IdEncoder:
         )
         self.blank = np.zeros(max(merges.values()) + 1, bool)
         self.blank[[rank for token, rank in merges.items() if token.startswith(b" ")]] = True
+        # What a text must hold for a token to go on over a single blank; blanks in a row are looked for anyway.
+        inner = {t.decode("utf-8", "ignore") for t in merges if b" " in t[1:] and b"  " not in t}
+        self.inner = [t for t in inner if not any(o != t and o in t for o in inner)]
 
     def encode(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
@@ -65,6 +69,7 @@ class IdEncoder:
         out: list[np.ndarray | None] = [
             self.encode(t)
             if not t or "  " in t or t[0] == " " or t[-1] == " " or any(s in t for s in self.special)
+            or any(s in t for s in self.inner)
             else None
             for t in texts
         ]

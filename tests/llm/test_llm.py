@@ -350,6 +350,16 @@ def test_ids_are_those_of_the_tokenizer():
         assert encoder.tokenizer.encode(text, add_special_tokens=False).ids == ids.tolist(), repr(text)
 
 
+def test_ids_where_a_token_goes_on_over_a_blank():
+    encoder, rng = packing.IdEncoder(), random.Random(4)
+    spaces = [" ", "\u00a0", "\u00a0 ", " \u00a0", "\n", "\t", "\u3000", "\u2003"]
+    texts = ["a" + "".join(rng.choice(spaces) for _ in range(rng.randrange(1, 12))) + "b c" for _ in range(500)]
+    texts += ["a" + " \u00a0" * n + tail for n in range(1, 20) for tail in ("", " b", "b")]
+    for text, ids in zip(texts, encoder.encode_all(texts)):
+        assert encoder.tokenizer.encode(text, add_special_tokens=False).ids == ids.tolist(), repr(text)
+    assert encoder.encode_all(["a \u00a0 \u00a0 \u00a0 b"])[0].tolist() == [64, 11504, 5624, 275]
+
+
 def test_plan_uses_every_piece_once_and_is_tight():
     rng = random.Random(2)
     counts = {}
