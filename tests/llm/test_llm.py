@@ -82,6 +82,25 @@ def test_pages_without_an_article_lose_what_their_host_repeats(frame):
     assert html_text.extract_text(df.limit(0)).count() == 0
 
 
+def test_pages_with_the_same_furniture_are_one_stream(frame, monkeypatch):
+    menu = "<nav>one two three four five six seven</nav>"
+    rows = [(i, f"http://h.example/{i}", f"{menu}<article>text {i}</article>") for i in range(60)]
+    rows += [(100 + i, None if i % 2 else "http://h.example/x", f"<p>same page {i % 3}</p>") for i in range(30)]
+    sizes, inner = [], html_text.deal
+
+    def deal(streams, shard):
+        dealt = inner(streams, shard)
+        sizes.extend(r["count"] for r in dealt.groupBy("host", "shard").count().collect())
+        return dealt
+
+    monkeypatch.setattr(html_text, "deal", deal)
+    df = frame(rows, "page_id bigint, url string, html string")
+    found = {r["page_id"]: r["text"] for r in html_text.extract_text(df, shard=4).collect()}
+    assert sum(sizes) == 7  # the menu and three pages at the host, three pages without one
+    assert len(found) == 90 and found[7] == "text 7"
+    assert all(found[100 + i] == f"same page {i % 3}" for i in range(30))
+
+
 # op2 and op7
 
 
