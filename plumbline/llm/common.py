@@ -13,6 +13,7 @@ _SEPARATORS = bytes(
     for c in range(256)
 )
 SPACES = "[^\\x09-\\x0D\\x20]+"  # a word as runs of anything but ASCII white space
+SLICE = 4 << 20  # bytes of a batch that are Python objects at a time
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -26,23 +27,35 @@ def remainder(column: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most SLICE bytes, or single rows: batches are cut by rows, texts differ in length."""
+    if batch.num_rows < 2 or batch.nbytes <= SLICE:
+        yield batch
+        return
+    half = batch.num_rows // 2
+    yield from slices(batch.slice(0, half))
+    yield from slices(batch.slice(half))
+
+
 def map_batches(
     df: DataFrame, schema: str, fields: list[tuple[str, pa.DataType]],
     start: Callable[[], Callable[..., list]],
 ) -> DataFrame:
-    """Map each Arrow batch of `df`: `start()` once a task gives a function of the columns as lists.
+    """Map slices of the Arrow batches of `df`: `start()` once a task gives a function of the columns as lists.
 
-    It returns one list per output field. Nothing is kept from one batch to the next but what that
-    function keeps itself.
+    It returns one list per output field. Nothing is kept from one slice to the next but what that
+    function keeps itself, and memory that Arrow holds free goes back with every batch.
     """
     out = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
         for batch in batches:
-            columns = work(*(c.to_pylist() for c in batch.columns))
-            arrays = [pa.array(c, f.type) for c, f in zip(columns, out)]
-            yield pa.RecordBatch.from_arrays(arrays, schema=out)
+            for part in slices(batch):
+                columns = work(*(c.to_pylist() for c in part.columns))
+                arrays = [pa.array(c, f.type) for c, f in zip(columns, out)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=out)
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
@@ -54,7 +67,9 @@ def keep_rows(df: DataFrame, column: str, start: Callable[[], Callable[[list], l
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = start()
         for batch in batches:
-            yield batch.filter(pa.array(keep(batch.column(at).to_pylist()), pa.bool_()))
+            for part in slices(batch):
+                yield part.filter(pa.array(keep(part.column(at).to_pylist()), pa.bool_()))
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, df.schema)
 

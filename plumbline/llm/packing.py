@@ -29,7 +29,7 @@ from plumbline.session import Checkpoints
 CAPACITY = 2_048
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"  # the same vocabulary for two libraries
 END_ID = 0
-_CHUNK = 16_000_000  # characters encoded at a time
+_CHUNK = 1_000_000  # characters encoded at a time
 
 
 class IdEncoder:
@@ -219,7 +219,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     counts = {r["length"]: r["n"] for r in total}
     if any(n is None or not 0 < n <= capacity for n in counts):
         raise ValueError(f"lengths must lie between 1 and {capacity}")
-    parts = min(4096, max(16, sum(counts.values()) // 50_000))
+    parts = max(16, sum(counts.values()) // 50_000)
     part = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)).cast("int")
     dealt = pieces.withColumn("part", part)
     sizes = dealt.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
