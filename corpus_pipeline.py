@@ -10,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, near_copies, packing, quality, toxicity
+from plumbline.llm import decontaminate, packing, quality, simhash, toxicity
 from plumbline.llm.common import keep_rows
 from plumbline.session import Checkpoints
 
-ORACLE_SQL = None  # trained models, shingle sets, edit distances and tokenizers are beyond SQL
-_KEEP = "__keep_by_quality"
+ORACLE_SQL = None  # trained models, fingerprints, edit distances and tokenizers are beyond SQL
+_KEEP, _PRINT = "__keep_by_quality", "__fingerprint"
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,8 +25,10 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     stats = {f"{_KEEP}_{n}": c for n, c in quality.statistics(F.col("text")).items()}
     score = model.column({n: F.col(f"{_KEEP}_{n}") for n in quality.NAMES})
     judged = docs.withColumns(stats).select(*columns, (score >= quality.THRESHOLD).alias(_KEEP))
-    # A filter would be moved below the projection and compute the statistics anew for every rule.
-    return keep_rows(judged, _KEEP, lambda: lambda marks: [bool(m) for m in marks]).select(*columns)
+    # A filter would be moved below the projection and compute the statistics anew for every rule, but not below
+    # a generator: one row in, one row out.
+    judged = judged.select(F.inline(F.array(F.struct(*judged.columns))))
+    return judged.where(F.coalesce(F.col(_KEEP), F.lit(False))).select(*columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,17 +43,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates, once.
+    """One document of each group of linked SimHash fingerprints, the one with the smallest id.
 
-    Near-duplicates share at least 0.8 of their five-word shingles. Rows without an id belong to no group and stay.
+    Of repeated rows of that document one stays. Texts without words have one fingerprint and are one group. Rows
+    without an id belong to no group and stay. Where ids repeat, a row is told by its id and fingerprint.
     """
-    found = Checkpoints(spark).write(near_copies.near_copies(docs).where("doc_id is not null"))
-    removed = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(removed, "doc_id", "left_anti").select(*docs.columns)
+    found = Checkpoints(spark).write(simhash.near_duplicates(docs.where("doc_id is not null")))
     if found.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.where("doc_id is null"))
+        removed = found.where("doc_id <> component_id").select("doc_id")
+        return docs.join(removed, "doc_id", "left_anti").select(*docs.columns)
+    stay = found.groupBy("root").agg(F.min(F.struct("doc_id", "fp")).alias("row")).select(
+        "row.doc_id", F.col("row.fp").alias(_PRINT)
+    )
+    printed = simhash.with_fingerprints(docs.where("doc_id is not null"), _PRINT)
+    kept = printed.join(stay, ["doc_id", _PRINT], "left_semi").dropDuplicates(["doc_id", _PRINT])
+    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
