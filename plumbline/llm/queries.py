@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, html_text, licenses, packing, quality, simhash, token_counts, toxicity, url_rules, vector_links
+from plumbline.llm import decontaminate, html_text, licenses, packing, quality, rule_ledger, simhash, token_counts, toxicity, url_rules, vector_links
 from plumbline.llm.common import remainder
 from plumbline.session import ensure_checkpoint_dir
 
@@ -147,3 +147,43 @@ def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"))
+
+
+@query
+def op11_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Measures, failure bits and the verdict of the latest policy for every document, from a stored ledger."""
+    found = rule_ledger.judge(rule_ledger.stored_ledger(_table(spark, folder, "documents")))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failures"
+    )
+
+
+_BLANK = r"\x20\x09-\x0D"
+ORACLES["op11_quality_rules"] = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+split AS (SELECT r, regexp_extract_all(text, '[^{_BLANK}]+') AS ws FROM docs),
+words AS (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM split),
+windows AS (SELECT r, p, w AS w0, lead(w, 1) OVER o AS w1, lead(w, 2) OVER o AS w2, lead(w, 3) OVER o AS w3,
+                   lead(w, 4) OVER o AS w4 FROM words WINDOW o AS (PARTITION BY r ORDER BY p)),
+often AS (SELECT r, p FROM windows WHERE w4 IS NOT NULL
+          QUALIFY count(*) OVER (PARTITION BY r, w0, w1, w2, w3, w4) > 1),
+covered AS (SELECT DISTINCT r, p + unnest([0, 1, 2, 3, 4]) AS p FROM often),
+repeats AS (SELECT r, count(*) AS n_repeat_words FROM covered GROUP BY r),
+lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs),
+line_counts AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines
+                WHERE regexp_matches(line, '[^{_BLANK}]') GROUP BY r),
+measures AS (
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(text, '[{_BLANK}]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         coalesce(n_lines, 0) AS n_lines
+  FROM docs JOIN split USING (r) LEFT JOIN repeats USING (r) LEFT JOIN line_counts USING (r)),
+bits AS (
+  SELECT *, CAST(CASE WHEN n_words < 10 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END
+              + CASE WHEN 10 * n_symbols > 3 * n_words THEN 4 ELSE 0 END + CASE WHEN word_chars < 2 * n_words THEN 8 ELSE 0 END
+              + CASE WHEN word_chars > 15 * n_words THEN 16 ELSE 0 END
+              + CASE WHEN 100 * n_dup_lines > 50 * n_lines THEN 32 ELSE 0 END AS BIGINT) AS failures FROM measures)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failures & 3 <> 0 AS base_failed,
+       failures = 0 AS kept, failures FROM bits
+"""
