@@ -27,14 +27,14 @@ def remainder(column: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
-def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """The batch in parts of at most SLICE bytes, or single rows: batches are cut by rows, texts differ in length."""
-    if batch.num_rows < 2 or batch.nbytes <= SLICE:
+def slices(batch: pa.RecordBatch, most: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most `most` bytes, or single rows: batches are cut by rows, texts differ in length."""
+    if batch.num_rows < 2 or batch.nbytes <= most:
         yield batch
         return
     half = batch.num_rows // 2
-    yield from slices(batch.slice(0, half))
-    yield from slices(batch.slice(half))
+    yield from slices(batch.slice(0, half), most)
+    yield from slices(batch.slice(half), most)
 
 
 def map_batches(

@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, html_text, licenses, packing, quality, rule_ledger, simhash, token_counts, toxicity, url_rules, vector_links
+from plumbline.llm import (
+    alignment,
+    decontaminate,
+    hard_negatives,
+    html_text,
+    licenses,
+    packing,
+    quality,
+    rule_ledger,
+    simhash,
+    token_counts,
+    toxicity,
+    url_rules,
+    vector_links,
+)
 from plumbline.llm.common import remainder
 from plumbline.session import ensure_checkpoint_dir
 
@@ -187,3 +201,43 @@ bits AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failures & 3 <> 0 AS base_failed,
        failures = 0 AS kept, failures FROM bits
 """
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Every 50th id is an anchor, every 7th has its label moved on; rows that lack anything take no part."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, folder, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH rows AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS parts
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.r AS ar, a.vec_id AS anchor_id, c.r AS cr, c.vec_id AS other_id, a.label = c.label AS same,
+         CAST(list_dot_product(a.parts, c.parts) AS BIGINT) AS score
+  FROM rows a JOIN rows c ON a.vec_id % 50 = 0 AND a.r <> c.r AND len(a.parts) = len(c.parts)),
+positives AS (
+  SELECT ar, anchor_id, cr AS pr, other_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, other_id, cr) <= 5),
+negatives AS (
+  SELECT p.anchor_id, positive_id, positive_score, n.other_id AS negative_id, n.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.ar, pr ORDER BY n.score DESC, n.other_id, n.cr) AS INTEGER) AS rank
+  FROM positives p JOIN pairs n ON p.ar = n.ar AND NOT n.same
+   AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 3
+"""
+
+
+@query
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens for every document, and how often its pairs are linked in the corpus."""
+    return alignment.align_documents(_table(spark, folder, "documents")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
