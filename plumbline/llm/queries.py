@@ -215,10 +215,10 @@ ORACLES["op13_hard_negatives"] = """
 WITH rows AS (
   SELECT row_number() OVER () AS r, vec_id,
          CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS parts
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS parts
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 pairs AS (
   SELECT a.r AS ar, a.vec_id AS anchor_id, c.r AS cr, c.vec_id AS other_id, a.label = c.label AS same,
          CAST(list_dot_product(a.parts, c.parts) AS BIGINT) AS score
