@@ -26,6 +26,7 @@ from plumbline.functions.numbers import numeric_view
 from plumbline.functions.text import compact, compact_texts
 from plumbline.operators.checks import grouping_bits, run_timestamp
 from plumbline.operators.skew import COUNT, spread_join
+from plumbline.session import Checkpoints
 from plumbline.sources.unions import union_all
 
 EPSILON = 1e-11
@@ -34,6 +35,7 @@ DETECTED = 0.5  # M1 above this makes (x, y) a candidate rule
 MAX_M2, MAX_M3 = 5.0, 10.0  # a candidate rule within both limits is respected
 TRIGRAM_DIMENSIONS = 4_096
 CHUNK = 64
+PIVOTS = 8
 MAX_GROUPING_COLUMNS = 32  # grouping_id() is a 64-bit number
 
 
@@ -419,6 +421,38 @@ def _edit_groups(df: DataFrame, x: str, ys: Sequence[str], max_labels: int) -> D
     )
 
 
+def _relative_edits(a: Column, b: Column) -> Column:
+    """Edit distance over the longer length; 0 between empty labels."""
+    longer = F.greatest(F.length(a), F.length(b))
+    return F.when(longer == 0, 0.0).otherwise(F.levenshtein(a, b) / longer)
+
+
+def pivot_labels(df: DataFrame, column: str, pivots: int = PIVOTS) -> list[str]:
+    """Labels that are far from each other: the least one, then always the label farthest from those chosen.
+
+    Ties go to the lesser label. One pass over the distinct labels each; fewer than `pivots` if all others are
+    among them. Only the chosen labels reach the driver.
+    """
+    labels = Checkpoints(df.sparkSession).write(df.select(F.col(column).alias("label")).where("label is not null").distinct())
+    first = labels.agg(F.min("label")).first()[0]
+    chosen = [] if first is None else [first]
+    while chosen and len(chosen) < pivots:
+        gaps = [_relative_edits(F.col("label"), F.lit(p)) for p in chosen]
+        nearest = gaps[0] if len(gaps) == 1 else F.least(*gaps)
+        gap, label = labels.agg(F.min(F.struct((-nearest).alias("gap"), "label"))).first()[0]
+        if gap == 0:
+            break
+        chosen.append(label)
+    return chosen
+
+
+def pivot_vector(column: Column, chosen: Sequence[str]) -> Column:
+    """A label's relative edit distances to the pivots, scaled so that two labels' vectors lie no farther apart than
+    the largest difference of any of these distances."""
+    scale = len(chosen) ** -0.5
+    return F.when(column.isNotNull(), F.array(*(_relative_edits(column, F.lit(p)) * scale for p in chosen)))
+
+
 def encode_labels(df: DataFrame, column: str, embeddings: DataFrame) -> DataFrame:
     """Replace the labels of `column` by their vectors from (label, embedding); null without one."""
     table = embeddings.select(F.col("label").alias("__label"), F.col("embedding").alias("__vector"))
@@ -430,19 +464,20 @@ def analyze(
     df: DataFrame,
     min_completeness: float | None = MIN_COMPLETENESS,
     encoder: Callable[[DataFrame], DataFrame] | None = None,
-    text: Literal["trigrams", "edit"] = "trigrams",
+    text: Literal["trigrams", "edit", "pivots"] = "trigrams",
     dimensions: int = TRIGRAM_DIMENSIONS,
     max_labels: int = 200,
+    pivots: int = PIVOTS,
 ) -> DataFrame:
     """(x, y, M1, M2, M3) for every ordered pair of representative columns.
 
     `encoder` may replace text columns by vectors beforehand. Remaining text is compared by
-    trigrams, or by edit distance for columns of few labels. A null y is a group of its own;
-    groups without a value of x are skipped; the weight of a group is N_g over all rows.
+    trigrams, by edit distances to some pivots, or by all edit distances for columns of few labels. A null y is a
+    group of its own; groups without a value of x are skipped; the weight of a group is N_g over all rows.
     `min_completeness=None` takes all columns as they are.
     """
-    if text not in ("trigrams", "edit"):
-        raise ValueError(f"text must be trigrams or edit, not {text!r}")
+    if text not in ("trigrams", "edit", "pivots"):
+        raise ValueError(f"text must be trigrams, edit or pivots, not {text!r}")
     if min_completeness is not None:
         df = representative_columns(df, min_completeness)
     if encoder is not None:
@@ -452,6 +487,11 @@ def analyze(
     vectors = [c for c in names if isinstance(df.schema[c].dataType, T.ArrayType)]
     texts = [c for c in names if isinstance(df.schema[c].dataType, T.StringType)]
     batches = [names[i : i + MAX_GROUPING_COLUMNS] for i in range(0, len(names), MAX_GROUPING_COLUMNS)]
+    placed = {}
+    if text == "pivots":
+        for x in texts:
+            if chosen := pivot_labels(df, x, pivots):
+                placed[x] = df.withColumn(x, pivot_vector(F.col(x), chosen))
 
     parts = []
     for ys in batches:
@@ -461,7 +501,11 @@ def analyze(
             if others := [y for y in ys if y != x]:
                 parts.append(_vector_groups(df, x, others))
         for x in texts:
-            if others := [y for y in ys if y != x]:
+            others = [y for y in ys if y != x]
+            if others and text == "pivots":
+                if x in placed:
+                    parts.append(_vector_groups(placed[x], x, others))
+            elif others:
                 parts.append(
                     _text_groups(df, x, others, dimensions)
                     if text == "trigrams"

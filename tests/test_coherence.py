@@ -106,7 +106,7 @@ def test_measures_equal_a_computation_by_rows(mixed):
         assert found[x, y] == pytest.approx(by_rows(data, groups), rel=1e-6, abs=1e-5), (x, y)
 
 
-@pytest.mark.parametrize("text", ["trigrams", "edit"])
+@pytest.mark.parametrize("text", ["trigrams", "edit", "pivots"])
 def test_rules_stand_out_from_controls(frame, text):
     rng = random.Random(8)
     seasons = {1: "winter", 4: "spring", 7: "summer", 10: "autumn"}
@@ -126,6 +126,39 @@ def test_edit_distance_refuses_too_many_labels(spark):
         c.analyze(df, text="edit", max_labels=19)
 
 
+def test_pivots_are_far_from_each_other(frame):
+    labels = ["kitten", "sitting", "mitten", "", "zzzzzz", "kitchen", "Sitting", "aé"]
+    df = frame([(v,) for v in labels * 2 + [None]], "a string")
+
+    def gap(a, b):
+        rows = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, rows[0] = rows[0], i
+            for j, y in enumerate(b, 1):
+                last, rows[j] = rows[j], min(rows[j] + 1, rows[j - 1] + 1, last + (x != y))
+        return rows[-1] / max(len(a), len(b), 1)
+
+    want = [min(labels)]
+    while len(want) < 5:
+        want.append(min(labels, key=lambda v: (-min(gap(v, p) for p in want), v.encode())))
+    assert c.pivot_labels(df, "a", 5) == want
+    assert sorted(c.pivot_labels(df, "a", 50)) == sorted(labels)
+    assert c.pivot_labels(df.where("a is null"), "a") == []
+    vectors = {r["a"]: r["v"] for r in df.distinct().withColumn("v", c.pivot_vector(F.col("a"), want)).collect()}
+    assert vectors.pop(None) is None
+    for label, vector in vectors.items():
+        assert vector == pytest.approx([gap(label, p) / 5**0.5 for p in want])
+    for a in labels:  # by the triangle inequality of edits, labels that are close have close vectors
+        assert np.linalg.norm(np.subtract(vectors[a], vectors[a])) == 0
+
+
+def test_pivots_take_any_number_of_labels(spark):
+    df = spark.range(3000).select(
+        F.concat(F.lit("item "), F.col("id") % 1500).alias("a"), (F.col("id") % 1500 % 7).alias("b"))
+    found = measures(df, text="pivots")
+    assert set(found) == {("a", "b"), ("b", "a")} and found["b", "a"][0] == pytest.approx(1.0)
+
+
 def test_timestamps_only_group(frame):
     at = dt.datetime(2026, 1, 1)
     df = frame([(at, 1.0), (at, 1.0), (at + dt.timedelta(1), 2.0), (at + dt.timedelta(1), 2.0)], "t timestamp_ntz, v double")

@@ -184,7 +184,44 @@ def sql_edit_pair(x: str, y: str, table: str) -> str:
 def _edit(t: Tables):
     return rounded(c.analyze(_parts(t).drop("p_name"), text="edit"), DIGITS, *MS)
 
-
+def sql_pivot_pairs(xs: list[str], table: str, pivots: int) -> str:
+    """Farthest-point pivots one after the other, vectors of the distances to them, then the measures by dimension."""
+    parts, selects = [], []
+    for x in xs:
+        parts.append(f"{x}_0 AS MATERIALIZED (SELECT DISTINCT {x} AS l, CAST(2 AS DOUBLE) AS gap FROM {table} WHERE {x} IS NOT NULL)")
+        for k in range(1, pivots + 1):
+            last = f"{x}_{k - 1}"
+            edits = "CASE WHEN greatest(length(l), length(p)) = 0 THEN 0 ELSE levenshtein(l, p)::DOUBLE / greatest(length(l), length(p)) END"
+            old = "".join(f"d{j}, " for j in range(1, k))
+            parts.append(f"""{x}_{k} AS MATERIALIZED (SELECT l, {old}least(gap, {edits}) AS gap, {edits} AS d{k}
+              FROM {last}, (SELECT l AS p FROM {last} ORDER BY gap DESC, l LIMIT 1))""")
+        dims = " UNION ALL ".join(f"SELECT l, {k} AS i, d{k} / sqrt({pivots}) AS v FROM {x}_{pivots}" for k in range(1, pivots + 1))
+        parts.append(f"{x}_v AS MATERIALIZED ({dims})")
+    for x, y in permutations(xs, 2):
+        rows = f"(SELECT {y} AS g, i, v FROM {table} JOIN {x}_v ON {x} = l)"
+        selects.append(sql_measures(
+            x, y,
+            f"""SELECT any_value(n) AS n, sum(var) AS var, sqrt(sum((mu - gmu) ** 2)) AS dist
+            FROM (SELECT g, i, count(*) AS n, avg(v) AS mu, var_pop(v) AS var FROM {rows} GROUP BY g, i)
+            JOIN (SELECT i, avg(v) AS gmu FROM {rows} GROUP BY i) USING (i) GROUP BY g""",
+            f"SELECT count(*) FROM {table}",
+            f"SELECT sum(var) FROM (SELECT var_pop(v) AS var FROM {rows} GROUP BY i)",
+        ))
+    return f"WITH {', '.join(parts)} " + " UNION ALL ".join(selects)
+
+
+PIVOT_TABLE = """(SELECT p_name, p_brand, p_name || ' ' || p_brand || ' ' || p_size AS title,
+    CASE WHEN p_partkey % 12 <> 0 THEN p_type END AS p_type FROM part)"""
+
+
+@register("coherence_pivots", sql_pivot_pairs(["p_name", "p_brand", "title", "p_type"], PIVOT_TABLE, 6))
+def _pivots(t: Tables):
+    """Columns of any number of labels by edit distance: title has nearly as many as the table has rows."""
+    data = t.part.select(
+        "p_name", "p_brand", F.concat_ws(" ", "p_name", "p_brand", F.col("p_size").cast("string")).alias("title"),
+        gap("p_partkey", 12, "p_type").alias("p_type"),
+    )
+    return rounded(c.analyze(data, None, text="pivots", pivots=6), DIGITS, *MS)
 
 
 @register(
