@@ -107,7 +107,7 @@ def _unit(vectors: list, size: int) -> np.ndarray:
 
 
 def compare(left: pd.DataFrame, right: pd.DataFrame | None, cell: int, min_cosine: float) -> pd.DataFrame:
-    """(name, n_links, root) of the vectors of a block, or of two different blocks, of one cell.
+    """(gid, n_links, root) of the vectors of a block, or of two different blocks, of one cell.
 
     A pair counts in the smallest cell that it shares only; `root` ties a vector to the least of those
     that it reaches here.
@@ -119,7 +119,7 @@ def compare(left: pd.DataFrame, right: pd.DataFrame | None, cell: int, min_cosin
     else:
         a, b = np.nonzero(x[: len(left)] @ x[len(left) :].T >= min_cosine)
         b += len(left)
-    names, copies = rows["name"].to_numpy(np.int64), rows["copies"].to_numpy(np.int64)
+    names, copies = rows["gid"].to_numpy(np.int64), rows["copies"].to_numpy(np.int64)
     links = np.zeros(len(rows), np.int64)
     cells = np.array(rows["cells"].tolist(), np.int64)
     for at in range(0, len(a), 65_536):
@@ -136,7 +136,7 @@ def compare(left: pd.DataFrame, right: pd.DataFrame | None, cell: int, min_cosin
         if (new == root).all():
             break
         root = new
-    out = pd.DataFrame({"name": names, "n_links": links, "root": root})
+    out = pd.DataFrame({"gid": names, "n_links": links, "root": root})
     return out[np.isin(np.arange(len(rows)), np.concatenate([a, b]))]
 
 
@@ -145,9 +145,10 @@ def link_vectors(
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row of `vectors` (vec_id, embedding).
 
-    Two vectors link if their cosine in double precision is at least `min_cosine`. Vectors that are null, empty or zero, hold
-    null or non-finite components, or have another length than most, link with nothing, and neither do rows
-    without a vec_id (their component is null and they aren't kept). Repeated rows count as vectors of their own.
+    Two vectors of one length link if their cosine in double precision is at least `min_cosine`. Vectors that are null,
+    empty or zero, or hold null or non-finite components link with nothing, and neither do rows without a vec_id (their
+    component is null and they aren't kept). Repeated rows count as vectors of their own; rows of one vec_id with
+    different vectors are different vectors.
     """
     kept = Checkpoints(vectors.sparkSession)
     entry = F.col("embedding")
@@ -160,26 +161,30 @@ def link_vectors(
         F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"),
         F.when(sound, F.size(entry)).alias("length"),
     )
-    lengths = rows.where("length is not null").groupBy("length").count().orderBy(F.desc("count"), "length").take(1)
-    alone = (F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
-    if not lengths:
-        return rows.select("vec_id", *alone).withColumn("kept", F.col("vec_id").isNotNull())
-    length, count = lengths[0]
-    usable = F.col("length").eqNullSafe(length)
+    usable = F.col("length").isNotNull()
+    lengths = rows.where(usable).groupBy("length").count()
+    # An index for each length that has more vectors than are compared at once anyway.
+    indexes = {}
+    for length, count in lengths.where(F.col("count") > BLOCK).orderBy("length").collect():
+        own = rows.where(F.col("length") == length).select("embedding")
+        drawn = own.orderBy(F.xxhash64("embedding"), "embedding").limit(sample).collect()
+        known = np.unique(np.array([r[0] for r in drawn], np.float64), axis=0)
+        indexes[length] = fit_index(_unit(known, length), count, recall, min_cosine)
     digests = [F.xxhash64(F.lit(i), "embedding").alias(f"digest_{i}") for i in (0, 1)]
-    distinct = rows.where(usable).groupBy("embedding").agg(
+    distinct = rows.where(usable).groupBy("length", "embedding").agg(
         F.min("vec_id").alias("name"), F.count(F.lit(1)).alias("copies")
     )
-    drawn = (
-        rows.where(usable).select("embedding").orderBy(F.xxhash64("embedding"), "vec_id").limit(sample).collect()
-    )
-    known = np.unique(np.array([r[0] for r in drawn], np.float64), axis=0)
-    index = fit_index(_unit(known, length), count, recall, min_cosine)
 
     def start():
-        def work(names, copies, embeddings, *digest):
-            cells = index.nearest_cells(_unit(embeddings, length)).tolist() if names else []
-            return [names, copies, embeddings, *digest, cells]
+        def work(own, names, copies, embeddings, *digest):
+            cells = [[0]] * len(own)
+            of = np.array(own, np.int64)
+            for length in set(own) & set(indexes):
+                at = np.flatnonzero(of == length).tolist()
+                found = indexes[length].nearest_cells(_unit([embeddings[i] for i in at], length)).tolist()
+                for i, c in zip(at, found):
+                    cells[i] = c
+            return [own, names, copies, embeddings, *digest, cells]
 
         return work
 
@@ -187,59 +192,62 @@ def link_vectors(
     number = "float" if dict(vectors.dtypes)["embedding"] == "array<float>" else "double"
     placed = kept.write(
         map_batches(
-            distinct.select("name", "copies", F.col("embedding").cast(f"array<{number}>"), *digests),
-            f"name bigint, copies bigint, embedding array<{number}>, digest_0 bigint, digest_1 bigint, "
+            distinct.select("length", "name", "copies", F.col("embedding").cast(f"array<{number}>"), *digests),
+            f"length int, name bigint, copies bigint, embedding array<{number}>, digest_0 bigint, digest_1 bigint, "
             "cells array<int>",
             [
-                ("name", pa.int64()), ("copies", pa.int64()),
+                ("length", pa.int32()), ("name", pa.int64()), ("copies", pa.int64()),
                 ("embedding", pa.list_(pa.float32() if number == "float" else pa.float64())),
                 ("digest_0", pa.int64()), ("digest_1", pa.int64()), ("cells", pa.list_(pa.int32())),
             ],
             start,
-        )
+        ).withColumn("gid", F.monotonically_increasing_id())  # names each distinct vector, in a table from here on
     )
     crowded = (
-        placed.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > BLOCK).select("cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        placed.select("length", F.explode("cells").alias("cell")).groupBy("length", "cell")
+        .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
+        .select("length", "cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
     entered = spread_join(
-        placed.select("name", "copies", "embedding", "cells", F.explode("cells").alias("cell")),
-        crowded, ["cell"], "left",
+        placed.select("length", "gid", "copies", "embedding", "cells", F.explode("cells").alias("cell")),
+        crowded, ["length", "cell"], "left",
     )
-    own = F.pmod(F.xxhash64("name"), F.coalesce("blocks", F.lit(1))).cast("int")
+    own = F.pmod(F.xxhash64("gid"), F.coalesce("blocks", F.lit(1))).cast("int")
     dealt = entered.withColumn("own", own).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))
     )
     sides = dealt.select(
-        "cell", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-        "own", "name", "copies", "embedding", "cells",
+        "length", "cell", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        "own", "gid", "copies", "embedding", "cells",
     )
 
     def meet(key, group: pd.DataFrame) -> pd.DataFrame:
-        cell, low, high = key
+        _, cell, low, high = key
         # In a fixed order: the result must not depend on how rows came in.
-        group = group.sort_values("name", kind="stable")
+        group = group.sort_values("gid", kind="stable")
         if low == high:
             return compare(group.reset_index(drop=True), None, cell, min_cosine)
         left, right = (group[group["own"] == v].reset_index(drop=True) for v in (low, high))
         if not (len(left) and len(right)):
-            return pd.DataFrame({"name": [], "n_links": [], "root": []}, dtype="int64")
+            return pd.DataFrame({"gid": [], "n_links": [], "root": []}, dtype="int64")
         return compare(left, right, cell, min_cosine)
 
     met = kept.write(
-        sides.groupBy("cell", "low", "high").applyInPandas(meet, "name bigint, n_links bigint, root bigint")
+        sides.groupBy("length", "cell", "low", "high").applyInPandas(meet, "gid bigint, n_links bigint, root bigint")
     )
-    links = met.groupBy("name").agg(F.sum("n_links").alias("n_links"))
-    components = connected_components(met, "name", "root").withColumnRenamed("node", "name")
-    judged = (
-        placed.select("name", "copies", "digest_0", "digest_1")
-        .join(links, "name", "left")
-        .join(components, "name", "left")
+    links = met.groupBy("gid").agg(F.sum("n_links").alias("n_links"))
+    components = connected_components(met, "gid", "root").withColumnRenamed("node", "gid")
+    judged = kept.write(
+        placed.select("gid", "name", "copies", "digest_0", "digest_1")
+        .join(links, "gid", "left")
+        .join(components, "gid", "left")
         .select(
-            "digest_0", "digest_1", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "name").alias("component_id"),
+            "digest_0", "digest_1", "name", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+            F.coalesce("component", "gid").alias("component"),
         )
     )
+    least = judged.groupBy("component").agg(F.min("name").alias("component_id"))
+    judged = judged.join(least, "component").select("digest_0", "digest_1", "n_links", "component_id")
     own_rows = rows.select("vec_id", *(F.when(usable, d).alias(f"digest_{i}") for i, d in enumerate(digests)))
     out = spread_join(own_rows, judged, ["digest_0", "digest_1"], "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
