@@ -41,13 +41,37 @@ NOTICE_PHRASES = {
     "no part of this publication may be reproduced": "reserved",
     "for personal use only": "noncommercial",
     "non commercial use only": "noncommercial",
+    "boost software license": "bsl",
+    "artistic license": "artistic",
+    "eclipse public license": "epl",
+    "european union public licence": "eupl",
+    "common development and distribution license": "cddl",
+    "isc license": "isc",
+    "zlib license": "zlib",
+    "sil open font license": "ofl",
+    "free and unencumbered software released into the public domain": "unlicense",
+    "open database license": "odbl",
+    "gnu free documentation license": "gfdl",
+    "microsoft public license": "ms-pl",
+    "python software foundation license": "psf",
+    "postgresql license": "postgresql",
+    "academic free license": "afl",
+    "open software license": "osl",
+    "attribution sharealike": "cc-by-sa",
+    "attribution noncommercial": "cc-by-nc",
+    "attribution noderivatives": "cc-by-nd",
 }
 TAGS = ("spdx license identifier", "license expression", "license identifier")
 # How much a license restricts reuse, 0 (free) to 1 (reserved).
 RESTRICTION = {
-    "cc0": 0.0, "public-domain": 0.0, "unlicense": 0.0, "0bsd": 0.0, "mit": 0.1, "isc": 0.1, "bsd": 0.1,
-    "zlib": 0.1, "apache": 0.15, "cc-by": 0.2, "mpl": 0.4, "lgpl": 0.5, "epl": 0.5, "cc-by-sa": 0.5, "gpl": 0.7,
-    "agpl": 0.8, "noncommercial": 0.9, "reserved": 1.0,
+    "cc0": 0.0, "public-domain": 0.0, "unlicense": 0.0, "0bsd": 0.0, "wtfpl": 0.0, "pddl": 0.0, "mit": 0.1, "isc": 0.1,
+    "bsd": 0.1, "zlib": 0.1, "bsl": 0.1, "x11": 0.1, "ncsa": 0.1, "upl": 0.1, "curl": 0.1, "libpng": 0.1, "ntp": 0.1,
+    "hpnd": 0.1, "psf": 0.1, "python": 0.1, "postgresql": 0.1, "ruby": 0.1, "unicode": 0.1, "blueoak": 0.1, "mulanpsl": 0.1,
+    "apache": 0.15, "ecl": 0.15, "afl": 0.15, "artistic": 0.2, "openssl": 0.2, "php": 0.2, "zpl": 0.2, "cc-by": 0.2,
+    "odc-by": 0.2, "ofl": 0.3, "ms-pl": 0.3, "mpl": 0.4, "lgpl": 0.5, "epl": 0.5, "cddl": 0.5, "cpl": 0.5, "ms-rl": 0.5,
+    "cecill": 0.6, "eupl": 0.6, "osl": 0.6, "odbl": 0.5, "cc-by-sa": 0.5, "gfdl": 0.6, "gpl": 0.7, "cc-by-nd": 0.7,
+    "agpl": 0.8, "sspl": 0.9, "busl": 0.9, "cc-by-nc": 0.9, "cc-by-nc-sa": 0.9, "cc-by-nc-nd": 0.95, "noncommercial": 0.9,
+    "reserved": 1.0,
 }
 UNKNOWN = 0.6  # a tagged license that is not in the table
 EXCEPTION = 0.5  # `with` an exception halves the restriction
@@ -55,15 +79,24 @@ _OPERATORS = {"or": 1, "and": 2, "with": 3}
 # A tag's expression ends with its line; the words and brackets in it are its tokens.
 _EXPRESSION = re.compile(r"(?:licen[sc]e[- ](?:identifier|expression))\s*:\s*([^\r\n]*)", re.IGNORECASE)
 _TOKEN = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.+-]*")
+# What no table names is a license only if it says so itself, or has a version.
+_OWN_NAME = re.compile(r"licenseref-[a-z0-9.-]+|[a-z][a-z0-9.]*(?:-[a-z][a-z0-9.]*)*-v?\d+(?:\.\d+)*(?:-[a-z0-9.]+)*")
 
 
 def family(name: str) -> str:
-    """`GPL-2.0-or-later` -> gpl, `CC-BY-SA-4.0` -> cc-by-sa; unknown names lose just their version."""
-    low = name.lower().rstrip("+.")
+    """`GPL-2.0-or-later` -> gpl, `GPLv3+` -> gpl, `CC-BY-SA-4.0` -> cc-by-sa; unknown names lose just their version."""
+    low = re.sub(r"^([a-z]+)v(?=\d)", r"\1-", name.lower().rstrip("+."))
+    if low.startswith("licenseref-"):
+        return low
     known = [k for k in RESTRICTION if low == k or low.startswith(k + "-")]
     return max(known, key=len) if known else re.sub(r"-?\d[\d.]*.*$", "", low) or low
 
 
+def is_license(name: str) -> bool:
+    """A name of the table in any version, a reference to an own license, or a name with a version."""
+    return family(name) in RESTRICTION or bool(_OWN_NAME.fullmatch(name.lower().rstrip("+.")))
+
+
 @dataclass(frozen=True)
 class Evaluated:
     """The licenses of an expression and how much the whole restricts reuse."""
@@ -76,7 +109,8 @@ def evaluate(expression: str) -> Evaluated | None:
     """Value of an and/or/with expression: `or` lets one choose, `and` binds to both, `with` relaxes.
 
     `with` binds tighter than `and`, `and` tighter than `or`. Reading stops at the first word that can't
-    follow; null if no license stands at the start. Brackets left open are closed at the end.
+    follow or is no license (`is_license`; behind `with`, any word with "exception" in it will do); null if no
+    license stands at the start. Brackets left open are closed at the end.
     """
     output: list[Evaluated] = []
     pending: list[str] = []
@@ -94,7 +128,9 @@ def evaluate(expression: str) -> Evaluated | None:
         low = token.lower()
         if operand and token == "(":
             pending.append(token)
-        elif operand and low not in _OPERATORS and token != ")":
+        elif operand and low not in _OPERATORS and token != ")" and (
+            is_license(low) or (pending[-1:] == ["with"] and "exception" in low)
+        ):
             own = family(low)
             output.append(Evaluated(RESTRICTION.get(own, UNKNOWN), frozenset([own])))
             operand = False

@@ -206,6 +206,13 @@ def test_vector_links_against_brute_force(spark, frame, monkeypatch):
     assert np.mean([got[i]["component_id"] == root[i] for i in range(len(x))]) >= 0.98
     assert all(got[i]["n_links"] == 0 and got[i]["component_id"] == i and got[i]["kept"] for i in range(1000, 1006))
     assert got[None]["component_id"] is None and not got[None]["kept"] and len(got) == len(rows) + 7
+    # Vectors of any length link among themselves, and a vec_id is no vector: two rows of one id may differ.
+    short = [(7, [1.0, 2.0]), (9, [2.0, 4.0]), (8, [-1.0, 2.0]), (8, [5.0, 5.0]), (8, [5.0, 5.5]), (3, [0.0, -1.0])]
+    short += [(i + 100, v.tolist()) for i, v in enumerate(base[:3])]
+    found = vector_links.link_vectors(frame(short, "vec_id bigint, embedding array<double>")).collect()
+    assert sorted(map(tuple, found)) == sorted([
+        (7, 3, 7, True), (9, 3, 7, False), (8, 0, 8, True), (8, 3, 7, False), (8, 3, 7, False), (3, 0, 3, True),
+        (100, 0, 100, True), (101, 0, 101, True), (102, 0, 102, True)])
     assert vector_links.link_vectors(frame([], "vec_id bigint, embedding array<float>")).count() == 0
 
 
@@ -354,6 +361,18 @@ def test_license_scan_of_a_long_text_full_of_phrases():
 
 def test_license_expressions_without_a_license():
     assert licenses.evaluate("OR MIT") is None and licenses.evaluate("") is None
+    for words in ("the parties agree", "see below", "A or B", "version 2", "2.0", "none"):
+        assert licenses.evaluate(words) is None, words
+    assert licenses.evaluate("MIT or the other").names == {"mit"}
+
+
+@pytest.mark.parametrize(("name", "own"), [
+    ("GPLv3+", "gpl"), ("Apache-2.0", "apache"), ("LicenseRef-Own-1", "licenseref-own-1"), ("Sleepycat-1.0", "sleepycat"),
+    ("CC-BY-NC-SA-4.0", "cc-by-nc-sa"), ("0BSD", "0bsd"), ("BSD-3-Clause", "bsd"),
+])
+def test_names_of_licenses(name, own):
+    assert licenses.is_license(name) and licenses.family(name) == own
+    assert licenses.evaluate(name).names == {own}
 
 
 # op10
