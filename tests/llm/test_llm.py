@@ -1,6 +1,7 @@
 """The ten operators against brute force, on small frames with nulls, empty texts, ties and repeated rows."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -71,6 +72,34 @@ def test_blocks_of_a_page():
     assert html_text.blocks_of("a < b &lt;i&gt;  c<p>d") == [("open", "a < b <i> c"), ("open", "d")]
 
 
+@pytest.mark.parametrize("page", [
+    "<article class='post tag-social'>the text</article>",
+    "<article class='category-notices'>the text</article>",
+    "<div class='content no-sidebar'><article>the text</article></div>",
+    "<div id='form-page'><article>the text</article></div>",
+    "<div class='has-comments'><main>the text</main></div>",
+    "<article><p class='share-price'>the text</p><div class='social-share'>like it</div></article>",
+    "<article class='promo'>the text</article>",
+    "<main class='search'>the text</main>",
+    "<div class='sidebar-left'><article>other news</article></div><article>the text</article>",
+    "<div class='page-with-sidebar'><div itemprop='articleBody' class='form'>the text</div></div>",
+    "<article>the text<div class='related-posts'><article>more</article></div><article class='comment'>no</article></article>",
+])
+def test_class_names_do_not_speak_against_article_markup(page):
+    assert [t for r, t in html_text.blocks_of(page) if r == html_text.ARTICLE] == ["the text"]
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 400_000, "<article>x" + "<a " * 400_000, "<div>" * 100_000 + "x", "<div>" * 50_000 + "</p>" * 100_000,
+    "<b><div class='ad'>" * 30_000 + "</i>" * 30_000, "<!-- " * 200_000, "<script>" * 100_000, '<a "' * 200_000 + ">",
+    "<svg " * 200_000 + ">", "&amp" * 200_000, "<p>" * 200_000, "< " * 500_000,
+])
+def test_bad_long_pages_are_read_in_linear_time(page):
+    start = time.process_time()
+    html_text.blocks_of(page)
+    assert time.process_time() - start < 10
+
+
 def test_pages_without_an_article_lose_what_their_host_repeats(frame):
     bar = "home news sports weather money travel contact"
     rows = [(i, f"https://a.example/{i}", f"<div>{bar}</div><div>story number {i} is told once {i * 7}</div>") for i in range(6)]
