@@ -15,6 +15,7 @@ nothing. Items are read in blocks of bounded size; documents are never shuffled.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,17 +27,25 @@ from pyspark.sql import functions as F
 from plumbline.llm.common import ascii_words, keep_rows, map_batches
 
 EDITS = 0.2  # allowed edits per item word; items under 6 words must be met exactly
-MIN_WORDS = 3  # shorter items are common phrases and match nothing
+MIN_WORDS = 3  # shorter items are common phrases: only a text that is nothing else leaks them
 RECALL = 0.99  # of windows with as many edits as allowed, for each item length
 SAMPLED = 3  # places of the embedding in one hash
 BLOCK = 20_000  # items in memory at a time; more are read in further passes over the documents
 _GRAM = 3
+# Scripts that put no blanks between words: Thai, Lao, Burmese, Khmer, kana and Han. There each character is a word.
+_UNSPACED = re.compile("[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\uABFF\uF900-\uFAFF\U00020000-\U0003FFFF]")
 
 
 def allowed(n: int) -> int:
     return int(EDITS * n) if n >= 6 else 0
 
 
+def words_of(text: str | None) -> list[bytes]:
+    """Words as of `ascii_words`; in scripts without blanks each character is one."""
+    text = text or ""
+    return ascii_words(text if text.isascii() else _UNSPACED.sub(r" \g<0> ", text))
+
+
 def edit_window(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """(edits, start, end) of the stretch of `text` nearest to `item`; the first to end among equals."""
     n = len(text)
@@ -135,7 +144,9 @@ class Items:
 
     ids: list[int]
     words: list[np.ndarray]
+    whole: dict[tuple[bytes, ...], list[int]]  # the items that are too short for grams
     vocabulary: dict[bytes, int]
+    pairs: np.ndarray  # sorted codes of the two words that a gram begins with
     grams: np.ndarray  # sorted codes of three words in a row
     gram_item: np.ndarray
     gram_place: np.ndarray
@@ -145,13 +156,16 @@ class Items:
     @classmethod
     def of(cls, rows: list[tuple[int, str]], recall: float = RECALL) -> Items:
         vocabulary: dict[bytes, int] = {}
-        ids, words = [], []
+        ids, words, whole = [], [], {}
         for item_id, text in rows:
-            found = ascii_words(text)
+            found = words_of(text)
             if item_id is not None and len(found) >= MIN_WORDS:
                 ids.append(item_id)
                 words.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in found]))
-        codes = [_gram_codes(w) for w in words]
+            elif item_id is not None and found:
+                whole.setdefault(tuple(found), []).append(item_id)
+        pairs = np.unique(np.concatenate([np.zeros(0, np.int64), *(w[:-2] << 31 | w[1:-1] for w in words)]))
+        codes = [_gram_codes(w, pairs) for w in words]
         item = np.repeat(np.arange(len(words)), [len(c) for c in codes])
         place = np.concatenate([np.arange(len(c)) for c in codes]) if codes else np.zeros(0, int)
         flat = np.concatenate(codes) if codes else np.zeros(0, np.int64)
@@ -159,15 +173,17 @@ class Items:
         lengths = [len(w) for w in words]
         repeats = repetitions(lengths, recall)
         keys = embed_keys(*_padded(words), repeats) if words else np.zeros((0, repeats), np.uint64)
-        return cls(ids, words, vocabulary, flat[order], item[order], place[order], repeats, keys)
+        return cls(ids, words, whole, vocabulary, pairs, flat[order], item[order], place[order], repeats, keys)
 
     def leaks(self, text: str | None) -> list[tuple[int, int, int, int, int]]:
         """(item, edits, item words, start, end) for every item that some stretch of the text leaks."""
-        get = self.vocabulary.get
-        words = np.array([get(w, -1) for w in ascii_words(text)], np.int64)
-        if len(words) < MIN_WORDS or not len(self.grams):
+        get, found = self.vocabulary.get, words_of(text)
+        if len(found) < MIN_WORDS:
+            return [(item, 0, len(found), 0, len(found)) for item in self.whole.get(tuple(found), ())]
+        if not len(self.grams):
             return []
-        codes = _gram_codes(words)
+        words = np.array([get(w, -1) for w in found], np.int64)
+        codes = _gram_codes(words, self.pairs)
         low = np.searchsorted(self.grams, codes, "left")
         count = np.searchsorted(self.grams, codes, "right") - low
         count[codes < 0] = 0
@@ -225,12 +241,17 @@ class Items:
                 yield self.ids[item], edits, n, start, end
 
 
-def _gram_codes(words: np.ndarray) -> np.ndarray:
-    """One number per three words in a row; -1 where one of them is in no item."""
-    if len(words) < _GRAM:
-        return np.zeros(0, np.int64)
+def _gram_codes(words: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """One number per three words in a row; -1 where no item holds one of the words or the first two in a row.
+
+    The first two are named by their place in `pairs`, so that no number of words overflows.
+    """
+    if len(words) < _GRAM or not len(pairs):
+        return np.full(max(0, len(words) - _GRAM + 1), -1, np.int64)
     a, b, c = words[:-2], words[1:-1], words[2:]
-    return np.where((a < 0) | (b < 0) | (c < 0), -1, (a << 42) | (b << 21) | c)
+    first = a << 31 | b
+    at = np.minimum(np.searchsorted(pairs, first), len(pairs) - 1)
+    return np.where((a < 0) | (b < 0) | (c < 0) | (pairs[at] != first), -1, at << 31 | c)
 
 
 def _padded(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -242,10 +263,7 @@ def _padded(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def item_blocks(benchmark: DataFrame, block: int = BLOCK) -> Iterator[list[tuple[int, str]]]:
-    """The distinct (item_id, text) of the benchmark in blocks of at most `block`; rows with a null are left out.
-
-    A block's words stay below 2^21 distinct ones if items have under 100 words on average.
-    """
+    """The distinct (item_id, text) of the benchmark in blocks of at most `block`; rows with a null are left out."""
     items = (
         benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text")
         .where("item_id is not null and text is not null")
@@ -266,8 +284,9 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, recall: float = RECAL
     """(doc_id, item_id, edits, item_words, first_word, last_word, similarity) of every leak.
 
     One row per row of `documents` and distinct (item_id, text) that it leaks: the stretch with the fewest edits (the first of
-    equals), in words of the document from 0. Null and empty texts leak nothing; without items
-    the result is empty.
+    equals), in words of the document from 0; characters are words in scripts without blanks. Items under MIN_WORDS
+    words are leaked only by texts that are nothing else. Null and empty texts leak nothing; without items the result
+    is empty. Repeated rows and ids keep their rows, a null doc_id stays null, other columns are not read.
     """
     columns = [
         ("doc_id", pa.int64()), ("item_id", pa.int64()), ("edits", pa.int64()), ("item_words", pa.int64()),

@@ -291,6 +291,32 @@ def test_leaks_against_brute_force(spark, frame):
     assert decontaminate.find_leaks(frame(docs, "doc_id bigint, text string"), bench.limit(0)).count() == 0
 
 
+def test_leaks_of_short_items_and_scripts_without_blanks(frame):
+    chinese = "今天天气很好我们去公园散步吧"
+    bench = frame([(1, chinese), (2, "Two words"), (3, "ไทยแลนด์"), (4, "one"), (5, "ok"), (5, "ok"), (6, " . ")], "item_id bigint, text string")
+    docs = [(1, chinese), (2, "前面" + chinese.replace("公", "花") + "后面"), (3, "two  WORDS."), (4, "two words more"), (5, "xไทยแลนด์"),
+            (6, "one two words"), (7, "OK"), (8, "今天下雨了"), (9, " . "), (None, "one")]
+    found = decontaminate.find_leaks(frame(docs, "doc_id bigint, text string"), bench).collect()
+    assert sorted(((r["doc_id"] or 0, r["item_id"], r["edits"]) for r in found)) == [
+        (0, 4, 0), (1, 1, 0), (2, 1, 1), (3, 2, 0), (5, 3, 0), (7, 5, 0)]
+
+
+def test_gram_codes_of_any_number_of_words_are_exact():
+    rng = np.random.default_rng(4)
+    big = 2**31 - 1
+    items = [rng.choice([0, 1, 2, 2**21, 2**22 + 1, big], 9).astype(np.int64) for _ in range(30)]
+    pairs = np.unique(np.concatenate([w[:-2] << 31 | w[1:-1] for w in items]))
+    known = {tuple(w[i : i + 3].tolist()) for w in items for i in range(7)}
+    codes = {}
+    for w in items:
+        for i, code in enumerate(decontaminate._gram_codes(w, pairs).tolist()):
+            assert code >= 0 and codes.setdefault(code, tuple(w[i : i + 3].tolist())) == tuple(w[i : i + 3].tolist())
+    assert len(codes) == len(known)
+    text = rng.choice([-1, 0, 1, 2, 2**21, 5, big], 2000).astype(np.int64)
+    for i, code in enumerate(decontaminate._gram_codes(text, pairs).tolist()):
+        assert (codes.get(code) == tuple(text[i : i + 3].tolist())) == (tuple(text[i : i + 3].tolist()) in known)
+
+
 # op6
 
 
