@@ -7,12 +7,13 @@ from dataclasses import dataclass, field
 from pathlib import PurePosixPath
 from typing import Literal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.session import Checkpoints
 from plumbline.sources.files import Folder
+from plumbline.sources.records import Records
 from plumbline.sources.unions import Mode, union_frames
 
 # File extension -> Spark format.
@@ -41,6 +42,9 @@ def resolve_format(path_or_name: str) -> str:
     return FORMATS[name]
 
 
+_EMPTY = "\ue000empty\ue000"  # stands for a quoted empty value between Spark's parser and `_typed`
+
+
 @dataclass(frozen=True)
 class TableSource:
     """Where a table lies and how to read it. `read` is lazy; columns and limits reach the scan."""
@@ -58,6 +62,7 @@ class TableSource:
     skip_rows: int = 0
     null_values: Sequence[str] = ()
     parse_dates: bool = False
+    multi_line: bool = True  # quoted fields may hold line breaks; files without any are read line by line all the same
     sample_lines: int | None = None  # types from so many first lines instead of all; a misfit below them raises
     options: Mapping[str, str] = field(default_factory=dict)
 
@@ -87,6 +92,8 @@ class TableSource:
         options = {
             "sep": self.separator,
             "quote": self.quote,
+            "escape": self.quote,  # a quote within quotes is doubled
+            "emptyValue": _EMPTY,  # "" is an empty text, nothing at all is null
             "encoding": self.encoding,
             "ignoreLeadingWhiteSpace": "false",
             "ignoreTrailingWhiteSpace": "false",
@@ -96,6 +103,9 @@ class TableSource:
             options["nullValue"] = self.null_values[0]
         return options | dict(self.options)
 
+    def _inferring(self) -> dict[str, str]:
+        return self._csv_options() | {"inferSchema": "true", "emptyValue": ""}  # a quoted empty value has no type
+
     def _sampled_schema(self, spark: SparkSession) -> T.StructType:
         """Types from all lines, or the first `sample_lines`; dates stay text unless asked for."""
         if self.sample_lines is None and not self.skip_rows:
@@ -105,7 +115,7 @@ class TableSource:
             header = spark.read.option("encoding", self.encoding).text(self.path).limit(self.skip_rows + 1).collect()
             names = header[-1][0] if self.header and len(header) > self.skip_rows else None
             # Lines in any order: the header is only used for its names.
-            inferred = spark.read.options(**self._csv_options()).option("inferSchema", True)
+            inferred = spark.read.options(**self._inferring())
             body = lines.where(F.col("value") != names) if names is not None else lines
             schema = inferred.option("header", False).csv(body.rdd.map(lambda r: r[0])).schema
             if names is not None:
@@ -117,7 +127,7 @@ class TableSource:
             lines = spark.read.option("encoding", self.encoding).text(self.path)
             head = lines.limit(self.skip_rows + 1 + self.sample_lines).collect()
             sample = spark.sparkContext.parallelize([r[0] for r in head[self.skip_rows :]], 1)
-        reader = spark.read.options(**self._csv_options()).option("inferSchema", True)
+        reader = spark.read.options(**self._inferring())
         return self._without_dates(reader.option("header", self.header).csv(sample).schema)
 
     def _without_dates(self, schema: T.StructType) -> T.StructType:
@@ -130,33 +140,80 @@ class TableSource:
         )
 
     def _read_csv(self, spark: SparkSession) -> DataFrame:
+        if self.multi_line and self.quote:
+            records = Records(spark, self.path, self.separator, self.quote, self.encoding, self.skip_rows)
+            if records.may_span_lines():
+                return self._read_records(spark, records.read())
         schema = self.schema if self.schema is not None else self._sampled_schema(spark)
-        if isinstance(schema, str):
-            schema = T.StructType.fromDDL(schema)
-        raw = schema
-        if len(self.null_values) > 1:
-            # Spark knows one null marker: read text, blank the others, then cast.
-            raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+        schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        raw = self._raw(schema)
         if self.skip_rows:
-            df = self._parsed_lines(spark, raw)
+            df = self._parsed(self._body(spark, self.skip_rows + (1 if self.header else 0)), raw)
         else:
             reader = spark.read.schema(raw).options(**self._csv_options())
             df = reader.option("header", self.header).csv(self.path)
-        if raw is schema:
-            return df
-        markers = list(self.null_values)
-        return df.select(
-            *(
-                F.when(~F.col(f.name).isin(markers), F.col(f.name)).cast(f.dataType).alias(f.name)
-                for f in schema
-            )
-        )
+        return self._typed(df, schema)
+
+    def _raw(self, schema: T.StructType) -> T.StructType:
+        """Columns are read as text and cast afterwards, so that each knows all null markers and quoted empty values.
 
-    def _parsed_lines(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
-        """CSV after the first `skip_rows` lines (and the header) of each file."""
-        body = self._body(spark, self.skip_rows + (1 if self.header else 0))
-        parsed = body.select(F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), self._csv_options()).alias("r"))
-        return parsed.select("r.*")
+        Types with a format of their own among the options are left to the parser.
+        """
+        if {"dateFormat", "timestampFormat", "timestampNTZFormat"} & set(self.options):
+            return schema
+        return T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+
+    def _typed(self, df: DataFrame, schema: T.StructType) -> DataFrame:
+        """Null markers are null, a quoted empty value is an empty text or no number, and a misfit is an error."""
+        out, strict = [], self._csv_options()["mode"].upper() == "FAILFAST"
+        for f in schema:
+            value, text = F.col(f"`{f.name}`"), isinstance(f.dataType, T.StringType)
+            if isinstance(df.schema[f.name].dataType, T.StringType):
+                markers = [*self.null_values, *([] if text else [_EMPTY])]
+                value = F.when(~value.isin(markers), value) if markers else value
+                cast = F.when(value == _EMPTY, "").otherwise(value) if text else value.try_cast(f.dataType)
+                if not text and strict:
+                    told = F.concat(F.lit(f"{f.name}: not a {f.dataType.simpleString()}: "), value)
+                    cast = F.when(value.isNotNull() & cast.isNull(), F.raise_error(told).cast(f.dataType)).otherwise(cast)
+                value = cast
+            out.append(value.alias(f.name))
+        return df.select(*out)
+
+    def _parsed(self, records: DataFrame, schema: T.StructType) -> DataFrame:
+        """One row per record (`value`); line breaks inside quotes stay as they are."""
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        options = self._csv_options() | {"multiLine": "true"}
+        # A generator: no filter on parsed columns is moved below it, to lines that are no records.
+        return records.select(F.inline(F.array(F.from_csv("value", ddl, options))))
+
+    def _read_records(self, spark: SparkSession, records: DataFrame) -> DataFrame:
+        """Records that span lines; types from all of them, or the first `sample_lines` of a file."""
+        records = Checkpoints(spark).write(records)
+        top = Window.partitionBy("file").orderBy("start", "number")
+        wanted = int(self.header) + (self.sample_lines or 0)
+        first = records.withColumn("place", F.row_number().over(top)).where(F.col("place") <= wanted)  # cut in each task
+        if self.header:
+            header = first.where("place = 1")
+            names = header.orderBy("file").first()
+            if names is None:
+                return spark.createDataFrame([], self.schema or "value string")
+            body = records.join(header.select("file", "start", "number"), ["file", "start", "number"], "left_anti")
+        else:
+            body = records
+        schema = self.schema
+        if schema is None:
+            sample = body
+            if self.sample_lines is not None:
+                sample = first.where(F.col("place") > int(self.header))
+            inferred = spark.read.options(**self._inferring()).option("multiLine", True).option("header", False)
+            schema = self._without_dates(inferred.csv(sample.select("value").rdd.map(lambda r: r[0])).schema)
+            if self.header:
+                reader = spark.read.options(**self._csv_options()).option("multiLine", True).option("header", True)
+                labels = reader.csv(spark.sparkContext.parallelize([names["value"]], 1)).columns
+                types = [f.dataType for f in schema] or [T.StringType()] * len(labels)  # no record, no type
+                schema = T.StructType([T.StructField(n, t) for n, t in zip(labels, types)])
+        schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        return self._typed(self._parsed(body, self._raw(schema)), schema)
 
     def _body(self, spark: SparkSession, skipped: int) -> DataFrame:
         """The lines (`value`) after the first `skipped` of each file."""
@@ -196,7 +253,11 @@ class TableSink:
         kind = resolve_format(self.format or self.path)
         options = dict(self.options)
         if kind == "csv":
-            options |= {"header": str(self.header).lower(), "sep": self.separator, "quote": self.quote}
+            options = {
+                "header": str(self.header).lower(), "sep": self.separator, "quote": self.quote, "escape": self.quote,
+                "emptyValue": self.quote * 2,
+                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+            } | options
             if self.null_value is not None:
                 options["nullValue"] = self.null_value
         if self.compression is not None:

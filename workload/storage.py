@@ -164,3 +164,21 @@ def _repair(t: Tables):
     triplet = Triplet("low", "mid", "high")
     repaired = repair_table(rows, "pay", registry, DedupSettings(), (triplet, "mid", [60.0, 12.0]))
     return rounded(repaired, 4, "mid")
+
+
+SQL_DIFFICULT = """SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 11 = 0 THEN NULL
+      ELSE replace(replace(text, 'e', '"'), '. ', chr(10)) || ',"' END AS text, lang FROM documents"""
+
+
+@register("round_trip_csv_texts", f"SELECT doc_id, sha256(text) AS digest, lang FROM ({SQL_DIFFICULT})")
+def _difficult_texts(t: Tables):
+    """Texts with quotes, separators and line breaks, and empty ones beside nulls, written as CSV and read back."""
+    broken = F.replace(F.replace("text", F.lit("e"), F.lit('"')), F.lit(". "), F.lit("\n"))
+    rows = t.documents.select(
+        "doc_id",
+        F.when(F.col("doc_id") % 7 == 0, "").when(F.col("doc_id") % 11 != 0, F.concat(broken, F.lit(',"'))).alias("text"),
+        "lang",
+    )
+    sink = TableSink(_folder(t, "difficult"), "csv")
+    sink.write(rows)
+    return sink.as_source().read(t.spark).select(F.col("doc_id").cast("bigint"), F.sha2("text", 256).alias("digest"), "lang")
