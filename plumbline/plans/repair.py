@@ -1,4 +1,4 @@
-"""Repairs in their order: heterogeneity, then uniqueness, then completeness.
+"""Repairs in their order: conformity and heterogeneity, then uniqueness, coherence and completeness.
 
 Every repair writes a new version of the table, never over what it reads, and promotes nothing
 unless told to.
@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from plumbline.operators.conform import Step, format_repair, interval_repair
 from plumbline.operators.dedup import DedupResult, deduplicate
 from plumbline.operators.dependencies import EPSILON, MAX_LHS
 from plumbline.operators.impute import impute
@@ -112,19 +113,59 @@ def complete(
     return filled
 
 
+@dataclass(frozen=True)
+class FormatRule:
+    """Columns, the pattern they should match, and the program that brings them there."""
+
+    columns: tuple[str, ...]
+    pattern: str
+    program: tuple[Step, ...]
+
+
+@dataclass(frozen=True)
+class OrderRule:
+    """Columns, the operators between neighbours, and how far values may move."""
+
+    columns: tuple[str, ...]
+    operators: tuple[str, ...]
+    threshold: float
+    step: float = 1.0
+
+
+def repair_conformity(df: DataFrame, formats: Sequence[FormatRule] = (), orders: Sequence[OrderRule] = ()) -> DataFrame:
+    """Texts brought to their formats, then numbers to their order; what cannot be mended stays or becomes null."""
+    for rule in formats:
+        df = format_repair(df, rule.columns, rule.pattern, rule.program)
+    for rule in orders:
+        df = interval_repair(df, rule.columns, rule.operators, rule.threshold, rule.step, "__repair").drop("__repair")
+    return df
+
+
 def repair_table(
     df: DataFrame,
     source: str,
-    errors: DataFrame,
+    errors: DataFrame | Callable[[DataFrame], DataFrame],
     settings: DedupSettings = DedupSettings(),
     ratio: tuple[Triplet, str, Sequence[float]] | None = None,
     impute_columns: Sequence[str] = (),
+    formats: Sequence[FormatRule] = (),
+    orders: Sequence[OrderRule] = (),
+    incoherent: Sequence[str] = (),
+    regression: str = "bayesian_ridge",
 ) -> DataFrame:
-    """The three repairs of one table in order; stable row ids keep the registry valid throughout."""
+    """All repairs of one table in order; stable row ids keep the registry valid throughout.
+
+    `errors` may be a function of the table as it is before deduplication: two spellings of one key are repeated
+    only once they are alike. `incoherent` columns (see `coherent_projection`) are left out before gaps are filled.
+    """
+    df = repair_conformity(df, formats, orders)
     if ratio is not None:
         df = repair_ratio(df, *ratio).frame
+    if callable(errors):
+        df = Checkpoints(df.sparkSession).write(df)
+        errors = errors(df)
     df = deduplicate(
         df, errors, source, settings.row_id, settings.epsilon, settings.max_lhs,
         settings.only_flagged, settings.order_by, settings.descending,
-    ).deduped
-    return impute(df, impute_columns) if impute_columns else df
+    ).deduped.drop(*incoherent)
+    return impute(df, impute_columns, regression=regression) if impute_columns else df

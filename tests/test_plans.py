@@ -135,3 +135,32 @@ def test_latest_takes_null_for_an_ordinary_key(frame):
     history = frame(rows, "source string, column_name string, timestamp int")
     found = {tuple(r) for r in scorecard.latest(history, ["source", "column_name"]).collect()}
     assert found == {("a", None, 2), ("b", "c", 1)}
+
+
+def test_columns_in_use_invalidate_their_sources(frame):
+    from plumbline.plans.assessment import ExpandedReference, KeyRule, Reference, Rulebook
+    from plumbline.plans.coherent import coherent_projection, used_columns
+
+    rules = Rulebook(
+        keys=[KeyRule(("a", "b"), ("id",))],
+        references=[
+            Reference("c", "a", (("a_id", "id"),)), ExpandedReference("d", "c", "note", (("n", r"\d+"),), ("num",)),
+            Reference("e", "f", (("x", "y"),)),
+        ],
+    )
+    assert used_columns(rules) == {
+        "a": {"id"}, "b": {"id"}, "c": {"a_id", "num"}, "d": {"note"}, "e": {"x"}, "f": {"y"}}
+    tables = {n: frame([(1, 2, 3)], "id int, a_id int, extra int") for n in "abcdef"}
+
+    def projected(*broken, spread=True):
+        rows = [(x, "y", 0.9, 9.0, 1.0, s, "2026-01-01") for s, x in broken] + [("a_id", "y", 0.9, 1.0, 1.0, "f", "2026-01-01")]
+        analysis = frame(rows, "x string, y string, M1 double, M2 double, M3 double, source string, timestamp string")
+        return coherent_projection(tables, rules, analysis, spread)
+
+    kept = projected(("a", "extra"), ("f", "extra"), ("f", "gone"), ("z", "extra"))
+    assert kept.dropped == {"a": ["extra"], "f": ["extra"]} and not kept.invalid and set(kept.tables) == set("abcdef")
+    assert kept.tables["a"].columns == ["id", "a_id"] and kept.tables["b"].columns == ["id", "a_id", "extra"]
+    lost = projected(("a", "id"), ("c", "extra"))
+    assert lost.broken == {"a": ["id"]} and lost.invalid == set("abcd") and set(lost.tables) == {"e", "f"}
+    assert projected(("a", "id"), spread=False).invalid == {"a"}
+    assert not projected().dropped

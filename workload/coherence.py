@@ -7,6 +7,10 @@ from itertools import permutations
 from pyspark.sql import functions as F
 
 from plumbline.operators import coherence as c
+from plumbline.plans.assessment import KeyRule, Reference, Rulebook
+from plumbline.plans.coherent import coherent_projection
+from plumbline.session import checkpoint
+from plumbline.sources.unions import union_all
 from workload.common import RUN_1, Tables, gap, orders, register, rounded, sql_orders
 
 AT_1 = f"TIMESTAMP '{RUN_1}'"
@@ -276,3 +280,45 @@ def _profile(t: Tables):
 def _distances(t: Tables):
     labels = t.part.select(F.explode(F.array("p_type", "p_brand", "p_name")).alias("label"))
     return rounded(c.label_distances(labels, "label"), 9, "distance")
+
+
+SQL_ORDER_COLUMNS = " UNION ALL ".join(
+    f"SELECT 'orders' AS source, '{c}' AS column_name, count({e}) AS n_values FROM {sql_orders()}"
+    for c, e in (("o_orderkey", "o_orderkey"), *GROUPED.items())
+)
+SQL_CUSTOMER_COLUMNS = " UNION ALL ".join(
+    f"SELECT 'customer' AS source, '{c}' AS column_name, count({c}) AS n_values FROM customer" for c in ("c_custkey", "c_name")
+)
+
+
+@register(
+    "coherent_projection",
+    f"""WITH broken AS (SELECT DISTINCT x FROM ({sql_numeric_pairs()}) WHERE "M1" > 0.5 AND NOT ("M2" <= 5 AND "M3" <= 10)),
+    own AS ({SQL_ORDER_COLUMNS}), other AS ({SQL_CUSTOMER_COLUMNS})
+    SELECT 'by key' AS joined, * FROM own WHERE column_name NOT IN (SELECT x FROM broken)
+    UNION ALL SELECT 'by key', * FROM other
+    UNION ALL SELECT 'by customer', * FROM own
+      WHERE column_name NOT IN (SELECT x FROM broken) AND 'o_custkey' NOT IN (SELECT x FROM broken)
+    UNION ALL SELECT 'by customer', * FROM other""",
+)
+def _projection(t: Tables):
+    """What is left of orders and customers: if orders are joined by a column that breaks rules, nothing of orders."""
+    rows = orders(t).select(
+        "o_orderkey", "o_custkey", "o_totalprice", (F.col("o_totalprice") > 250000).alias("is_big"),
+        F.to_date("o_orderdate").alias("day"),
+    )
+    tables = {"orders": rows, "customer": t.customer.select("c_custkey", "c_name")}
+    rules = checkpoint(c.candidate_rules(numeric_pairs(t), "orders", RUN_1))
+    key = KeyRule(("orders",), ("o_orderkey",))
+    to_customer = Reference("orders", "customer", (("o_custkey", "c_custkey"),))
+    parts = []
+    for joined, book in (
+        ("by key", Rulebook(keys=[key])), ("by customer", Rulebook(keys=[key], references=[to_customer])),
+    ):
+        for source, df in coherent_projection(tables, book, rules).tables.items():
+            counts = F.array(*(
+                F.struct(F.lit(n).alias("column_name"), F.count(n).alias("n_values")) for n in df.columns
+            ))
+            parts.append(df.agg(counts.alias("c")).select(
+                F.lit(joined).alias("joined"), F.lit(source).alias("source"), F.inline("c")))
+    return union_all(parts)

@@ -7,9 +7,10 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.operators.conform import Step
 from plumbline.operators.rescale import Triplet
 from plumbline.plans.assessment import KeyRule, Rulebook, run_assessment, violations
-from plumbline.plans.repair import DedupSettings, repair_scale, repair_table
+from plumbline.plans.repair import DedupSettings, FormatRule, OrderRule, repair_scale, repair_table
 from plumbline.session import ensure_checkpoint_dir
 from plumbline.sources.registry import MetricStore, ViolationStore
 from plumbline.sources.tables import TableSink, TableSource, VersionedTable, ingest, run_transform
@@ -166,6 +167,41 @@ def _repair(t: Tables):
     return rounded(repaired, 4, "mid")
 
 
+# The same people, written in two ways, bounds in each other's place, a column that says nothing, and gaps in the pay.
+SQL_STAFF = """(SELECT o_orderkey AS row_id, 'p' || (o_orderkey // 2) AS person, o_custkey::DOUBLE AS low,
+    o_custkey * 3.0::DOUBLE AS high, CASE WHEN o_orderkey % 6 <> 0 THEN o_totalprice END AS pay FROM orders)"""
+SQL_ONE_EACH = f"(SELECT * FROM {SQL_STAFF} QUALIFY row_number() OVER (PARTITION BY person ORDER BY pay IS NULL, row_id) = 1)"
+
+
+@register(
+    "repair_whole_order",
+    f"""WITH one AS {SQL_ONE_EACH}, line AS (
+      SELECT regr_slope(pay, low) AS slope, regr_intercept(pay, low) AS base FROM one)
+    SELECT row_id, person, low, high, round(coalesce(pay, base + slope * low), 4) AS pay FROM one, line""",
+)
+def _repair_whole(t: Tables):
+    """Formats and bounds first, then duplicates among what is written alike now, then columns, then gaps."""
+    key = F.col("o_orderkey")
+    name = F.concat(F.lit("p"), F.floor(key / 2).cast("bigint"))
+    low, high = F.col("o_custkey").cast("double"), F.col("o_custkey") * 3.0
+    rows = t.orders.select(
+        key.alias("row_id"),
+        F.when(key % 2 == 1, F.concat(F.lit("  "), F.upper(name))).otherwise(name).alias("person"),
+        F.when(key % 4 == 3, high).otherwise(low).alias("low"),
+        F.when(key % 4 == 3, low).otherwise(high).alias("high"),
+        F.when(key % 6 != 0, F.col("o_totalprice")).alias("pay"),
+        F.col("o_orderstatus").alias("noise"),
+    )
+    rule = Rulebook(keys=[KeyRule(("staff",), ("person",))])
+    repaired = repair_table(
+        rows, "staff", lambda df: violations({"staff": df}, rule, {"staff": "row_id"}),
+        formats=[FormatRule(("person",), r"^p\d+$", (Step("trim"), Step("lower")))],
+        orders=[OrderRule(("low", "high"), ("<=",), 0.1)],
+        incoherent=["noise"], impute_columns=["low", "pay"], regression="least_squares",
+    )
+    return rounded(repaired.select("row_id", "person", "low", "high", "pay"), 4, "pay")
+
+
 SQL_DIFFICULT = """SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 11 = 0 THEN NULL
       ELSE replace(replace(text, 'e', '"'), '. ', chr(10)) || ',"' END AS text, lang FROM documents"""
 
