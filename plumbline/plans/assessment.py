@@ -93,6 +93,23 @@ def _reference_table(tables: Mapping[str, DataFrame], rule, timestamp) -> DataFr
     return measure(left, right, rule.pairs, names, timestamp)
 
 
+def metric_tables(fused: DataFrame, metrics: set[str]) -> dict[str, DataFrame]:
+    """Scores of row checks in one shape, as a table per metric."""
+    out = {
+        metric: fused.where(F.col("metric") == metric).select(
+            "source", F.col("rule").alias("column_name"), F.col("score").alias(PERCENT_NAMES[metric]), "timestamp"
+        )
+        for metric in sorted(metrics & set(PERCENT_NAMES))
+    }
+    if checks.INTERVAL in metrics:
+        out["interval"] = fused.where(F.col("metric") == checks.INTERVAL).select(
+            "source",
+            *(F.col("columns")[i].alias(f"column_name_{n}") for i, n in enumerate(("min", "target", "max"))),
+            F.col("score").alias("interval_percent"), "timestamp",
+        )
+    return out
+
+
 def assess(
     tables: Mapping[str, DataFrame], rules: Rulebook, at: datetime | str | None = None
 ) -> dict[str, DataFrame]:
@@ -109,18 +126,7 @@ def assess(
                 [checks.score_checks(tables[s], list(cs), s, timestamp) for s, cs in rules.row_checks.items()]
             )
         )
-        metrics = {c.metric for cs in rules.row_checks.values() for c in cs}
-        for metric in sorted(metrics & set(PERCENT_NAMES)):
-            out[metric] = fused.where(F.col("metric") == metric).select(
-                "source", F.col("rule").alias("column_name"),
-                F.col("score").alias(PERCENT_NAMES[metric]), "timestamp",
-            )
-        if checks.INTERVAL in metrics:
-            out["interval"] = fused.where(F.col("metric") == checks.INTERVAL).select(
-                "source",
-                *(F.col("columns")[i].alias(f"column_name_{n}") for i, n in enumerate(("min", "target", "max"))),
-                F.col("score").alias("interval_percent"), "timestamp",
-            )
+        out |= metric_tables(fused, {c.metric for cs in rules.row_checks.values() for c in cs})
     if rules.keys:
         out["uniqueness"] = union_all(_key_tables(tables, rules, timestamp)).drop("columns")
     if rules.references:

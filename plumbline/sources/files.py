@@ -26,5 +26,13 @@ class Folder:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._at("")))
 
+    def files(self) -> dict[str, str]:
+        """The data files right below the path: name -> length and time of the last change."""
+        if not self.exists():
+            return {}
+        found = [s for s in self._fs.listStatus(self._at("")) if s.isFile()]
+        named = [(s.getPath().getName(), f"{s.getLen()}-{s.getModificationTime()}") for s in found]
+        return {name: stamp for name, stamp in named if name[0] not in "._"}
+
     def remove(self, name: str) -> bool:
         return self._fs.delete(self._at(name), True)

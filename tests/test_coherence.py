@@ -187,3 +187,28 @@ def test_rules_and_score(frame):
     row = c.coherence_score(rules).first()
     assert (row["detected_rules"], row["coherence_score"]) == (2, 0.5)
     assert [r["column_name"] for r in c.incoherent_columns(rules).collect()] == ["a"]
+
+
+def test_sketches_decide_as_exact_counts_do(frame, monkeypatch):
+    rng = random.Random(6)
+    n = 400
+    rows = [(
+        i, i if i else None, i if i > 1 else 2, 7, None, rng.randrange(3), None if i % 2 else 1, i % 390, "x" if i else "y",
+        None if i % 5 == 0 else i % 7, [float(i % 4)], 1 if i else None, i / 3,
+    ) for i in range(n)]
+    schema = ("key int, nullkey int, almost int, one int, none int, few int, half int, most int, text string, fifth int, "
+              "list array<double>, single int, real double")
+    df = frame(rows, schema)
+    for share in (0.0, 0.5, 0.8, 1.0):
+        exact = c.column_profile(df, share).where("representative").select("column_name").collect()
+        want = [x for x in df.columns if x in {r[0] for r in exact}]
+        assert c.representative_names(df, share) == want and want
+    assert {"almost", "most"} <= set(c.representative_names(df)) and "key" not in c.representative_names(df)
+    counted = []
+    profile = c.column_profile
+    monkeypatch.setattr(c, "column_profile", lambda d, share: counted.extend(d.columns) or profile(d, share))
+    c.representative_names(df)
+    assert set(counted) == {"key", "nullkey", "almost", "most", "real"}
+    assert c.representative_names(df.limit(0)) == []
+    with pytest.raises(ValueError):
+        c.representative_names(df, float("nan"))

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.plans import integration, repair, scorecard
 from plumbline.operators.rescale import Triplet
@@ -164,3 +165,54 @@ def test_columns_in_use_invalidate_their_sources(frame):
     assert lost.broken == {"a": ["id"]} and lost.invalid == set("abcd") and set(lost.tables) == {"e", "f"}
     assert projected(("a", "id"), spread=False).invalid == {"a"}
     assert not projected().dropped
+
+
+def test_incremental_scores_equal_a_full_run(spark, frame, tmp_path):
+    from plumbline.operators import checks
+    from plumbline.plans.assessment import KeyRule, Rulebook, assess
+    from plumbline.plans.incremental import IncrementalAssessment
+
+    rules = Rulebook(
+        row_checks={"a": [checks.not_null("x"), checks.one_of("t", ["u"]), checks.matches("t", "^u")], "b": [checks.not_null("x")]},
+        keys=[KeyRule(("a", "b"), ("x",)), KeyRule(("a",), ("x", "t"))],
+    )
+    schema = "x int, t string"
+    runs = {s: tmp_path / s for s in "ab"}
+    state = IncrementalAssessment(spark, str(tmp_path / "states"), rules)
+
+    def put(source, name, rows):
+        frame(rows, schema).coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "new"))
+        runs[source].mkdir(exist_ok=True)
+        part = next((tmp_path / "new").glob("part-*.parquet"))
+        (runs[source] / name).write_bytes(part.read_bytes())
+
+    def same():
+        full = assess({s: spark.read.schema(schema).parquet(str(p)) for s, p in runs.items()}, rules, "2026-01-01")
+        own = state.scores("2026-01-01")
+        assert set(own) == set(full)
+        for metric in full:
+            assert sorted(map(tuple, own[metric].select(*full[metric].columns).collect()), key=repr) == sorted(
+                map(tuple, full[metric].collect()), key=repr), metric
+
+    put("a", "1.parquet", [(1, "u"), (2, None), (None, "v"), (None, "v")])
+    put("b", "1 é.parquet", [(1, "u"), (5, "u")])
+    assert state.update("a", str(runs["a"])).scanned == ["1.parquet"]
+    assert state.update("b", str(runs["b"])).scanned == ["1 é.parquet"]
+    same()
+    put("a", "2.parquet", [(2, "u"), (3, "w")])
+    put("a", "3.parquet", [(3, "w")])
+    assert state.update("a", str(runs["a"])).scanned == ["2.parquet", "3.parquet"]
+    same()
+    assert state.update("a", str(runs["a"])).scanned == []
+    put("a", "2.parquet", [(9, "u"), (9, None), (9, "u")])  # written anew
+    (runs["a"] / "3.parquet").unlink()
+    change = state.update("a", str(runs["a"]))
+    assert (change.scanned, change.taken_back) == (["2.parquet"], ["2.parquet", "3.parquet"])
+    same()
+    # States of a run that broke off before its manifest do not count, and the next run goes on behind them.
+    lost = spark.read.parquet(str(tmp_path / "states" / "rows")).withColumn("batch", F.lit(99).cast("bigint"))
+    lost.write.mode("append").parquet(str(tmp_path / "states" / "rows"))
+    same()
+    put("a", "4.parquet", [(1, "u")])
+    state.update("a", str(runs["a"]))
+    same()
