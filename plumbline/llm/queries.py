@@ -58,12 +58,14 @@ def _judged(documents: DataFrame, scores: DataFrame, held_out: tuple[int, int],
 
 @query
 def op1_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page, and its length in code points; a null html has the empty text."""
     found = html_text.extract_text(_table(spark, folder, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
 @query
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document by a model fitted on the labels outside the held-out remainder; null and empty texts score too."""
     documents = _table(spark, folder, "documents")
     model = toxicity.fit_toxicity(documents, _table(spark, folder, "labels"))
     scores = toxicity.score_toxicity(documents, model)
@@ -106,16 +108,19 @@ FROM counts GROUP BY source, lang, tokenizer
 
 @query
 def op4_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of all vectors; what is no usable vector stands alone."""
     return vector_links.link_vectors(_table(spark, folder, "embeddings"))
 
 
 @query
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every leak of a benchmark item in a document."""
     return decontaminate.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
 @query
 def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """The longest rule that fits every page's url, and the verdict; without a rule a page is allowed."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     judged = url_rules.judge_urls(_table(spark, folder, "pages").select("page_id", "url"), rules)
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -140,6 +145,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 
 @query
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document by a model fitted on the labels outside the held-out remainder; null and empty texts score too."""
     documents = _table(spark, folder, "documents")
     model = quality.fit_quality(documents, _table(spark, folder, "labels"))
     scores = quality.score_quality(documents, model)
@@ -148,18 +154,21 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document; texts without words have fingerprint 0 and are one component."""
     found = simhash.near_duplicates(_table(spark, folder, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 @query
 def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Base phrases, labels and score of every document; null texts count as empty."""
     found = licenses.scan_licenses(_table(spark, folder, "documents"))
     return found.drop("expressions")
 
 
 @query
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """The pieces of every document and their places in sequences of 2048 tokens; a null text is one end token."""
     return packing.pack_documents(_table(spark, folder, "documents"))
 
 
