@@ -46,14 +46,15 @@ def _hit_share(counts: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFra
     )
 
 
-def _metric(share: DataFrame, sources, label_1: str, label_2: str, timestamp) -> DataFrame:
+def _metric(share: DataFrame, sources, label_1: str | Column, label_2: str | Column, timestamp) -> DataFrame:
+    label_1, label_2 = (F.lit(n) if isinstance(n, str) else n for n in (label_1, label_2))
     if not isinstance(timestamp, Column):
         timestamp = run_timestamp(timestamp)
     return share.select(
         F.lit(sources[0]).alias("source_1"),
         F.lit(sources[1]).alias("source_2"),
-        F.lit(label_1).alias("column_name_1"),
-        F.lit(label_2).alias("column_name_2"),
+        label_1.alias("column_name_1"),
+        label_2.alias("column_name_2"),
         F.try_divide(F.col("matched").cast("double"), F.col("total").cast("double")).alias(
             "fk_percent"
         ),
@@ -76,14 +77,44 @@ def foreign_key(
 ) -> DataFrame:
     """(source_1, source_2, column_name_1, column_name_2, fk_percent, timestamp) per column pair.
 
-    A null on the left fails; nulls on the right match nothing.
+    A null on the left fails; nulls on the right match nothing. Both tables are read once for all pairs
+    whose columns have the same types.
     """
-    parts = []
+    alike: dict[tuple[str, str], list[tuple[str, str, Column, Column]]] = {}
     for c1, c2 in pairs:
-        key, keys = _single_keys(left, right, c1, c2)
-        counts = count_by(left.select(key.alias("k0")), ["k0"])
-        parts.append(_metric(_hit_share(counts, keys, ["k0"]), sources, c1, c2, timestamp))
-    return union_all(parts)
+        as_text = _is_text(left, c1) != _is_text(right, c2)
+        own, other = _as_key(left, c1, as_text), _as_key(right, c2, as_text)
+        types = tuple(df.select(k.alias("k")).dtypes[0][1] for df, k in ((left, own), (right, other)))
+        alike.setdefault(types, []).append((c1, c2, own, other))
+    return union_all([_fused_metric(left, right, group, sources, timestamp) for group in alike.values()])
+
+
+def _fused_metric(
+    left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str, Column, Column]], sources, timestamp
+) -> DataFrame:
+    """The metric of pairs of one type: every row unfolds into (pair, key), and one join serves them all."""
+    columns = {c2: other for _, c2, _, other in pairs}
+    place = {c2: j for j, c2 in enumerate(columns)}
+    entries = [
+        F.struct(F.lit(i).alias("pair"), F.lit(place[c2]).alias("j"), own.alias("k0"))
+        for i, (_, c2, own, _) in enumerate(pairs)
+    ]
+    counts = count_by(left.select(F.inline(F.array(*entries))), ["pair", "j", "k0"])
+    others = [F.struct(F.lit(place[c2]).alias("j"), key.alias("k0")) for c2, key in columns.items()]
+    keys = right.select(F.inline(F.array(*others))).where("k0 is not null").distinct()
+    marked = counts.join(keys.withColumn("__hit", F.lit(True)), ["j", "k0"], "left")
+
+    def total(i: int, n: Column) -> Column:
+        return F.sum(F.when(F.col("pair") == i, n))  # null without rows
+
+    sums = marked.agg(F.array(*(
+        F.struct(
+            F.lit(c1).alias("column_name_1"), F.lit(c2).alias("column_name_2"),
+            total(i, F.when(F.col("__hit"), F.col(COUNT)).otherwise(0)).alias("matched"), total(i, F.col(COUNT)).alias("total"),
+        )
+        for i, (c1, c2, _, _) in enumerate(pairs)
+    )).alias("rows")).select(F.inline("rows"))
+    return _metric(sums, sources, F.col("column_name_1"), F.col("column_name_2"), timestamp)
 
 
 def foreign_key_violations(
