@@ -8,22 +8,27 @@ The condition is no equality, so Spark alone would compare every pair of rows. I
 
 A tag inside a text has all its grams inside that text, so the lookup loses nothing; choosing the
 rarest gram keeps prefixes common to all tags ("customer#") from pairing everything.
+
+Where it only matters which values match, not what, many short tags are looked up as grams of their own length:
+they meet the distinct grams and no text, so no pair is made at all.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.text import strip, tags
+from plumbline.functions.text import compact, strip, tags
 from plumbline.operators.skew import COUNT, spread_join
 from plumbline.session import checkpoint
 
 GRAM_LENGTHS = (1, 3, 6, 12)  # bytes; a tag is looked up by the longest of these that fits into it
 MAX_BROADCAST_GRAMS = 1_000_000  # checked by a count; beyond it the lookup is a shuffle join
+WHOLE = 12  # bytes; shorter tags are looked up as a whole where only they are asked for
 BLOCK = 65_536  # positions of a text that are unfolded at a time
 
 LEFT, RIGHT = "__left_digest", "__right_digest"
@@ -38,10 +43,10 @@ def _gram_length(tag: Column) -> Column:
     return F.coalesce(*fitting)
 
 
-def _with_grams(df: DataFrame, text: str, lengths: Sequence[int]) -> DataFrame:
+def _with_grams(df: DataFrame, text: str, lengths: Sequence[int], hashed: bool = True) -> DataFrame:
     """`df` unfolded to one row per gram of `text`: `__gram`, its first byte `__at`, its length `__size`.
 
-    Grams are hashed; equal hashes are verified on the texts later. Positions are unfolded, not
+    Grams are hashed, unless their bytes are asked for; equal hashes are verified on the texts later. Positions are unfolded, not
     strings, and grams are taken from bytes, where substring() need not walk over characters: the
     text itself is never copied and everything stays in generated code.
     """
@@ -53,7 +58,8 @@ def _with_grams(df: DataFrame, text: str, lengths: Sequence[int]) -> DataFrame:
     placed = placed.select(*df.columns, "__at", F.explode(F.array(*(F.lit(n) for n in lengths))).alias("__size"))
     gram = F.substring(F.col(text).cast("binary"), F.col("__at"), F.col("__size"))
     fits = F.col("__at") + F.col("__size") <= size + 1
-    return placed.where(fits).select(*df.columns, "__at", "__size", F.xxhash64(gram).alias("__gram"))
+    gram = F.xxhash64(gram) if hashed else gram
+    return placed.where(fits).select(*df.columns, "__at", "__size", gram.alias("__gram"))
 
 
 def _rarest(tag_grams: DataFrame, frequency: DataFrame) -> DataFrame:
@@ -108,6 +114,20 @@ def _matches_of_many_tags(
     )
 
 
+def _short_tags_inside(refs: DataFrame, tag_set: DataFrame, lengths: Sequence[int]) -> DataFrame:
+    """The tags of `lengths` bytes that lie inside some text: both sides are distinct, so no key is hot."""
+    seen = _with_grams(refs.select("__ref"), "__ref", lengths, hashed=False).select("__gram").distinct()
+    short = tag_set.where(F.octet_length("__tag") <= WHOLE).select("__tag", F.col("__tag").cast("binary").alias("__gram"))
+    return short.join(seen, "__gram", "left_semi").select("__tag")
+
+
+def _value_tags(tag_side: DataFrame, tag_column: str, key: Column) -> DataFrame:
+    """(`__key`, `__tag`) of the distinct values: a value and its tags travel as one row."""
+    value = F.col(tag_column).cast("string")
+    distinct = tag_side.select(key.alias("__key"), tags(value).alias("__tags")).distinct()
+    return distinct.select("__key", F.explode("__tags").alias("__tag"))
+
+
 def _matched_tags(
     tag_side: DataFrame,
     tag_column: str,
@@ -116,22 +136,18 @@ def _matched_tags(
     out: Sequence[str],
     max_broadcast: int,
 ) -> DataFrame:
-    """`__tag_digest` of each tag-side value with the columns `out` (`__tag`, perhaps `__ref_digest`) it matches.
+    """The columns `out` (`__tag`, perhaps `__ref_digest`) of the tags that lie inside a reference.
 
     One action on the tag side finds the gram lengths in use and how many grams there are; that
     number decides whether the tags can be broadcast.
     """
-    value_tags = (
-        tag_side.select(F.col(tag_column).cast("string").alias("__value"))
-        .select(_digest("__value").alias("__tag_digest"), F.explode(tags(F.col("__value"))).alias("__tag"))
-        .distinct()
-    )
     refs = ref_side.select(
         _digest(ref_column).alias("__ref_digest"),
         strip(F.lower(F.col(ref_column).cast("string"))).alias("__ref"),
     )
 
-    tag_set = value_tags.select("__tag").distinct().withColumn("__len", _gram_length(F.col("__tag")))
+    listed = tag_side.select(F.explode(tags(F.col(tag_column).cast("string"))).alias("__tag"))
+    tag_set = listed.distinct().withColumn("__len", _gram_length(F.col("__tag")))
     # Only the grams of the length chosen for the tag.
     tag_grams = (
         _with_grams(tag_set, "__tag", GRAM_LENGTHS)
@@ -140,16 +156,24 @@ def _matched_tags(
         .agg(F.min("__at").alias("__place"))
     )
 
+    size = F.octet_length("__tag")
     used = tag_grams.agg(
-        F.collect_set("__len").alias("lengths"), F.count(F.lit(1)).alias("grams")
+        F.collect_set("__len").alias("lengths"), F.count(F.lit(1)).alias("grams"),
+        F.collect_set(F.when(size <= WHOLE, size)).alias("short"), F.max(size).alias("longest"),
     ).first()
     lengths = sorted(used["lengths"]) or [GRAM_LENGTHS[0]]
     tag_grams = tag_grams.drop("__len")
     if used["grams"] <= max_broadcast:
-        matched = _matches_of_few_tags(refs, tag_grams, lengths, out)
-    else:
-        matched = _matches_of_many_tags(refs, tag_grams, lengths, out)
-    return value_tags.join(matched, "__tag")
+        return _matches_of_few_tags(refs, tag_grams, lengths, out)
+    if list(out) != ["__tag"]:
+        return _matches_of_many_tags(refs, tag_grams, lengths, out)
+    parts = []
+    if used["short"]:
+        parts.append(_short_tags_inside(refs, tag_set, sorted(used["short"])))
+    if used["longest"] > WHOLE:
+        long_ones = tag_grams.where(size > WHOLE)
+        parts.append(_matches_of_many_tags(refs, long_ones, [n for n in lengths if n == max(GRAM_LENGTHS)], out))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def matching_values(
@@ -163,7 +187,8 @@ def matching_values(
     matched = _matched_tags(
         tag_side, tag_column, ref_side, ref_column, ["__tag", "__ref_digest"], max_broadcast
     )
-    return matched.select("__tag_digest", "__ref_digest").distinct()
+    value_tags = _value_tags(tag_side, tag_column, _digest(tag_column))
+    return value_tags.join(matched, "__tag").select(F.col("__key").alias("__tag_digest"), "__ref_digest").distinct()
 
 
 def contains_join(
@@ -225,9 +250,15 @@ def has_match(
     right_column: str,
     max_broadcast: int = MAX_BROADCAST_GRAMS,
 ) -> DataFrame:
-    """`__tag_digest` of the `left` values of which a tag lies inside some `right` value.
+    """`__key` (see `value_key`) of the `left` values of which a tag lies inside some `right` value.
 
     Only tags leave the lookup, so a short tag found everywhere is one record and not one per text.
     """
     matched = _matched_tags(left, left_column, right, right_column, ["__tag"], max_broadcast)
-    return matched.select("__tag_digest").distinct()
+    value_tags = _value_tags(left, left_column, value_key(left_column))
+    return spread_join(value_tags, matched, ["__tag"], "left_semi").select("__key").distinct()
+
+
+def value_key(column: str) -> Column:
+    """A value as `has_match` names it: its text, or the digest of a long one."""
+    return compact(F.col(column).cast("string"))

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from plumbline.functions.text import compact, expand_column
 from plumbline.operators.checks import run_timestamp
-from plumbline.operators.contains import _digest, has_match
+from plumbline.operators.contains import has_match, value_key
 from plumbline.operators.skew import COUNT, all_of, count_by, spread_join
 from plumbline.sources.unions import union_all
 
@@ -145,8 +145,8 @@ def fuzzy_foreign_key(
     """As `foreign_key`, but a left value fits if one of its tags lies inside a right value."""
     parts = []
     for c1, c2 in pairs:
-        counts = count_by(left.select(_digest(c1).alias("k0")), ["k0"])
-        matched = has_match(left, right, c1, c2).withColumnRenamed("__tag_digest", "k0")
+        counts = count_by(left.select(value_key(c1).alias("k0")), ["k0"])
+        matched = has_match(left, right, c1, c2).withColumnRenamed("__key", "k0")
         parts.append(_metric(_hit_share(counts, matched, ["k0"]), sources, c1, c2, timestamp))
     return union_all(parts)
 
@@ -157,8 +157,8 @@ def fuzzy_foreign_key_violations(
 ) -> DataFrame:
     parts = []
     for c1, c2 in pairs:
-        rows = left.select(*row_key, _digest(c1).alias("k0"))
-        matched = has_match(left, right, c1, c2).withColumnRenamed("__tag_digest", "k0")
+        rows = left.select(*row_key, value_key(c1).alias("k0"))
+        matched = has_match(left, right, c1, c2).withColumnRenamed("__key", "k0")
         parts.append(
             _failing(
                 _rows_without(rows, matched, ["k0"]),

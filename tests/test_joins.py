@@ -145,3 +145,29 @@ def test_outer_substring_join_has_no_outer_join(tags, refs, how):
     joined = contains_join(tags, refs, "tags", "ref", how=how)
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" in plan and "LeftOuter" not in plan and "RightOuter" not in plan
+
+
+def test_many_short_tags_meet_no_text(frame, monkeypatch):
+    from plumbline.operators import contains
+
+    random.seed(3)
+    letters = ["a", "b", "\u00e9", "1"]
+    word = lambda n: "".join(random.choices(letters, k=n))
+    refs = [word(random.randint(1, 30)) for _ in range(60)] + ["", None]
+    values = [f"{word(random.randint(1, 4))}/ {word(random.randint(1, 9))}" for _ in range(60)] + [None, "/"]
+    values += [refs[0][:12].upper(), f"nothing/{refs[1][:13]}", refs[2] + "x" * 70]
+    inside = {v for v in values if v and any(t and any(t in r for r in refs if r) for t in (x.strip().lower() for x in v.split("/")))}
+    left = frame([(i, v) for i, v in enumerate(values)], "id int, v string")
+    right = frame([(r,) for r in refs], "r string")
+    for most in (0, 10_000):
+        found = contains.has_match(left, right, "v", "r", max_broadcast=most)
+        keyed = left.select("v", contains.value_key("v").alias("__key")).join(found, "__key")
+        assert {r["v"] for r in keyed.collect()} == inside
+    short = left.where("length(v) < 12")
+    plan = contains.has_match(short, right, "v", "r", max_broadcast=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains" not in plan and "sha2" not in plan.split("__ref")[-1]  # no pair of a tag and a text
+    monkeypatch.setattr(references, "has_match", lambda *a: contains.has_match(*a, max_broadcast=0))
+    failing = references.fuzzy_foreign_key_violations(left, right, [("v", "r")], ("a", "b"), ["id"])
+    assert {r["id"] for r in failing.collect()} == {i for i, v in enumerate(values) if v not in inside}
+    score = references.fuzzy_foreign_key(left, right, [("v", "r")], ("a", "b"), "2026-01-01").first()
+    assert score["fk_percent"] == sum(v in inside for v in values) / len(values)
