@@ -1,8 +1,8 @@
 """Assessment that scans new files only: what the rules measure is kept per file and adds up.
 
 A row check's state is how many rows of a file there are and fail, a key rule's how often each key value occurs in
-the file, by digest. States are signed: of a file that is gone or was written anew, the stored state is entered once
-more with the opposite sign. Scores are sums over states; the files are not read for them.
+the file, by digest. The manifest tells which scan of a file counts: taking a file back that is gone or was written
+anew is one row there, and its states are read no more. Scores are sums over states; the files are not read for them.
 
 A batch of states counts once its row in the manifest is written, so a run that breaks off leaves nothing behind, and
 doing it again is harmless. There must be one writer at a time for a folder.
@@ -24,7 +24,7 @@ from plumbline.sources.files import Folder
 from plumbline.sources.unions import union_all
 
 _ROWS = "batch bigint, source string, file string, metric string, rule string, columns array<string>, detail string, failed bigint, total bigint"
-_KEYS = "batch bigint, source string, file string, label string, key string, n bigint"
+_KEYS = "batch bigint, source string, file string, label string, key binary, n bigint"
 _MANIFEST = "batch bigint, source string, file string, stamp string, sign int"
 
 
@@ -51,6 +51,8 @@ class IncrementalAssessment:
         self.spark, self.folder, self.rules = spark, folder, rules
         self.read = read or (lambda session, paths: session.read.parquet(*paths))
         self.prepare = prepare or (lambda source, df: df)
+        if Folder(spark, folder).exists("keys"):
+            raise ValueError(f"{folder} holds states of an older layout: start in another folder")
 
     def _stored(self, name: str, schema: str) -> DataFrame:
         if not Folder(self.spark, self.folder).exists(name):
@@ -61,9 +63,10 @@ class IncrementalAssessment:
         return self._stored("manifest", _MANIFEST)
 
     def _live(self, name: str, schema: str) -> DataFrame:
-        """States of batches that were finished."""
-        done = self._manifest().select("batch").distinct()
-        return self._stored(name, schema).join(done, "batch", "left_semi")
+        """States of the last finished scan of each file that is there."""
+        scan = F.max(F.when(F.col("sign") > 0, F.col("batch"))).alias("batch")
+        files = self._manifest().groupBy("source", "file").agg(scan, F.sum("sign").alias("n")).where("n > 0").drop("n")
+        return self._stored(name, schema).join(F.broadcast(files), ["batch", "source", "file"], "left_semi")
 
     def known(self, source: str) -> dict[str, str]:
         """The files whose states count, and what told them apart from later versions."""
@@ -78,24 +81,17 @@ class IncrementalAssessment:
         if not scanned and not back:
             return Change([], [])
         last = self._stored("manifest", _MANIFEST).agg(F.max("batch")).first()[0]
-        started = self._stored("rows", _ROWS).agg(F.max("batch")).first()[0]  # of a run that broke off, too
-        batch = 1 + max(last or 0, started or 0)
+        # Of a run that broke off, too.
+        started = [self._stored(*stored).agg(F.max("batch")).first()[0] for stored in (("rows", _ROWS), ("key_counts", _KEYS))]
+        batch = 1 + max(n or 0 for n in (last, *started))
         rows, keys = [], []
-        if back:
-            gone = F.col("source").eqNullSafe(source) & F.col("file").isin(back)
-            # What counts for a file now, taken back as a whole.
-            old = self._live("rows", _ROWS).where(gone)
-            grouped = old.groupBy("source", "file", "metric", "rule", "columns", "detail")
-            rows.append(grouped.agg((-F.sum("failed")).alias("failed"), (-F.sum("total")).alias("total")))
-            grouped = self._live("keys", _KEYS).where(gone).groupBy("source", "file", "label", "key")
-            keys.append(grouped.agg((-F.sum("n")).alias("n")).where("n <> 0"))
         if scanned:
             own = self.read(self.spark, [f"{path}/{f}" for f in scanned])
             own = self.prepare(source, own.withColumn("__file", F.element_at(F.split(F.input_file_name(), "/"), -1)))
             file = F.url_decode(F.col("__file")).alias("file")
             rows += self._row_states(source, own, file)
             keys += self._key_states(source, own, file)
-        for name, parts, schema in (("rows", rows, _ROWS), ("keys", keys, _KEYS)):
+        for name, parts, schema in (("rows", rows, _ROWS), ("key_counts", keys, _KEYS)):
             if parts:
                 states = union_all([p.withColumn("batch", F.lit(batch).cast("bigint")) for p in parts])
                 states.select(*(c.split()[0] for c in schema.split(", "))).write.mode("append").parquet(f"{self.folder}/{name}")
@@ -124,7 +120,8 @@ class IncrementalAssessment:
         for rule in self.rules.keys:
             if source in rule.sources:
                 columns = [F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(sorted(rule.columns))]
-                key = F.sha2(F.to_json(F.struct(*columns)), 256).alias("key")  # a null has no entry there
+                digest = F.sha2(F.to_json(F.struct(*columns)), 256)  # a null has no entry there
+                key = F.unhex(F.left(digest, F.lit(32))).alias("key")  # 128 bits tell any number of values apart
                 label = F.lit(f"{rule.label}: {checks.key_label(rule.columns)}").alias("label")
                 counted = df.groupBy(file, key).agg(F.count(F.lit(1)).alias("n"))
                 parts.append(counted.select(F.lit(source).alias("source"), "file", label, "key", "n"))
@@ -150,8 +147,8 @@ class IncrementalAssessment:
             ).withColumns({"score": score(F.col("failed_rows"), F.col("total_rows")), "timestamp": timestamp})
             out |= metric_tables(fused, {c.metric for cs in self.rules.row_checks.values() for c in cs})
         if self.rules.keys:
-            # Over all sources of a rule; a value whose counts cancel out occurs nowhere now.
-            counts = self._live("keys", _KEYS).groupBy("label", "key").agg(F.sum("n").alias("n")).where("n > 0")
+            # Over all sources of a rule.
+            counts = self._live("key_counts", _KEYS).groupBy("label", "key").agg(F.sum("n").alias("n"))
             sums = counts.groupBy("label").agg(
                 F.sum("n").alias("total"), F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("failed")
             )

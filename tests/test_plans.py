@@ -216,3 +216,38 @@ def test_incremental_scores_equal_a_full_run(spark, frame, tmp_path):
     put("a", "4.parquet", [(1, "u")])
     state.update("a", str(runs["a"]))
     same()
+
+
+def test_states_of_files_taken_back_are_neither_copied_nor_counted(spark, frame, tmp_path):
+    from plumbline.plans.assessment import KeyRule, Rulebook
+    from plumbline.plans.incremental import IncrementalAssessment
+
+    rules = Rulebook(keys=[KeyRule(("a",), ("x",))])
+    state = IncrementalAssessment(spark, str(tmp_path / "states"), rules)
+    (tmp_path / "a").mkdir()
+
+    def put(name, values):
+        frame([(v,) for v in values], "x int").coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "new"))
+        (tmp_path / "a" / name).write_bytes(next((tmp_path / "new").glob("part-*.parquet")).read_bytes())
+
+    def score():
+        return state.scores("2026-01-01")["uniqueness"].first()["uniqueness_percent"]
+
+    put("1.parquet", [1, 1, 2])
+    put("2.parquet", [2, 3])
+    state.update("a", str(tmp_path / "a"))
+    assert score() == pytest.approx(1 / 5)
+    (tmp_path / "a" / "2.parquet").unlink()
+    assert state.update("a", str(tmp_path / "a")).taken_back == ["2.parquet"]
+    assert score() == pytest.approx(1 / 3)
+    keys = spark.read.parquet(str(tmp_path / "states" / "key_counts"))
+    assert keys.count() == 4 and {len(r["key"]) for r in keys.collect()} == {16}
+    # Key states of a run that broke off before its manifest do not count, also without any row check.
+    keys.where("batch = 1").withColumn("batch", F.lit(7).cast("bigint")).write.mode("append").parquet(
+        str(tmp_path / "states" / "key_counts"))
+    put("2.parquet", [2, 2])
+    state.update("a", str(tmp_path / "a"))
+    assert score() == 0.0 and spark.read.parquet(str(tmp_path / "states" / "manifest")).agg(F.max("batch")).first()[0] == 8
+    (tmp_path / "old" / "keys").mkdir(parents=True)
+    with pytest.raises(ValueError):
+        IncrementalAssessment(spark, str(tmp_path / "old"), rules)
