@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from plumbline.sources.files import Folder
 
 PARTITIONS = ("source", "rule")
+WRITERS = 64  # files that a task has open at a time; only with more rules than that in one task are rows sorted
 
 
 def _folder_name(value: str) -> str:
@@ -43,9 +44,17 @@ class ViolationStore:
         observed = violations.observe(seen, F.collect_set(F.struct(*PARTITIONS)).alias("pairs"))
         # One or a few files per rule instead of one per rule and task; AQE splits what is large.
         observed = observed.hint("rebalance", *(F.col(c) for c in PARTITIONS))
-        observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            *PARTITIONS
-        ).parquet(self.path)
+        # Failing rows are all alike but for their id and shrink to a thirtieth in a shuffle, so that a sort by rule would
+        # need many times the bytes by which AQE sizes its tasks.
+        key = "spark.sql.maxConcurrentOutputFileWriters"
+        before = spark.conf.get(key, None)
+        spark.conf.set(key, WRITERS)
+        try:
+            observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                *PARTITIONS
+            ).parquet(self.path)
+        finally:
+            spark.conf.unset(key) if before is None else spark.conf.set(key, before)
         written = {(r["source"], r["rule"]) for r in seen.get["pairs"]}
         folder = Folder(spark, self.path)
         for source, rule in set(checked) - written:

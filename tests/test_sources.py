@@ -250,3 +250,16 @@ def test_relaxed_union_of_booleans_and_numbers(frame):
         "true", None, "x",
     ]
     assert union_frames([flags, flags], "vertical_relaxed").schema["a"].dataType.simpleString() == "boolean"
+
+
+def test_failing_rows_are_written_without_a_sort(spark, frame, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    key, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, *a, **k: (seen.append(spark.conf.get(key)), write(w, *a, **k))[1])
+    before = spark.conf.get(key, None)
+    rows = [("s", f"r{i % 150}", i) for i in range(1500)]  # more rules than files are open at a time
+    store = ViolationStore(str(tmp_path / "v"))
+    store.replace(frame(rows, "source string, rule string, row_id bigint"), [])
+    assert int(seen[0]) > 1 and spark.conf.get(key, None) == before
+    assert sorted((r["source"], r["rule"], r["row_id"]) for r in store.read(spark).collect()) == sorted(rows)
