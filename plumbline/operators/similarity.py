@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from plumbline.operators.skew import spread_join
 
 PIECE = 3  # characters that a piece has at least, unless more pieces are needed
+COMMON = 10_000  # texts with a piece at one place, beyond which its count is broadcast and its rows are not shuffled
 MEASURES = ("edit", "words", "trigrams")
 
 
@@ -72,10 +73,18 @@ def _index(texts: DataFrame, num: int, den: int) -> DataFrame:
         "other", "n", cut.budget.alias("budget"),
         F.inline(F.transform(F.sequence(F.lit(0), cut.pieces - 1), piece)),
     )
-    often = pieces.groupBy("n", "i", "piece").agg(F.count(F.lit(1)).alias("often"))
+    keys = ["n", "i", "piece"]
+    often = pieces.groupBy(*keys).agg(F.count(F.lit(1)).alias("often"))
+    # Of a million rows there are at most a hundred common pieces. What is left has no hot key; it is merged, because
+    # unfolded pieces are many times the bytes by which Spark would take them for small enough to broadcast.
+    marked = pieces.join(F.broadcast(often.where(F.col("often") > COMMON)), keys, "left")
+    rare = marked.where("often is null").drop("often").hint("merge").join(often.where(F.col("often") <= COMMON), keys)
+    counted = marked.where("often is not null").unionByName(rare)
     order = Window.partitionBy("other").orderBy("often", "i")  # no more rows than the text has pieces
+    # By number: by bytes, AQE would put so many of these rows, which are all alike, into one sort.
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        spread_join(pieces, often, ["n", "i", "piece"])
+        counted.repartition(tasks, "other")
         .withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= F.col("budget") + 1)
         .select("other", "n", "i", "piece")

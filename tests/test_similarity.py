@@ -100,3 +100,16 @@ def test_common_beginnings_are_no_candidates(frame):
     texts = frame([(f"Customer#{i * 999_983 % 10**9:09d}",) for i in range(1000)], "other string")
     most = s._index(texts, 94, 100).groupBy("n", "i", "piece").count().agg({"count": "max"}).first()[0]
     assert most <= 100
+
+
+@pytest.mark.parametrize("common", [0, 3, 10_000])
+def test_counts_of_common_pieces_travel_apart(frame, monkeypatch, common):
+    monkeypatch.setattr(s, "COMMON", common)
+    names = [f"Customer#{i:04d}" for i in range(60)]
+    table = frame([(n,) for n in names], "b string")
+    index = s._index(table.select(s.F.col("b").alias("other")), 9, 10)
+    plan = index._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "REPARTITION_BY_NUM" in plan  # rows are neither broadcast nor dealt by bytes
+    found = s.similar_values(table.withColumnRenamed("b", "a"), table, "a", "b", "0.9")
+    close = {(a, b) for a in names for b in names if sum(x != y for x, y in zip(a, b)) <= 1}
+    assert {(r["own"], r["other"]) for r in found.collect()} == close
