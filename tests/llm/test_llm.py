@@ -110,6 +110,81 @@ def test_pages_without_an_article_lose_what_their_host_repeats(frame):
     assert html_text.extract_text(df.limit(0)).count() == 0
 
 
+def test_article_blocks_that_a_host_repeats_go_by_the_suffix_array(frame):
+    rng = random.Random(5)
+    notice, line = "Sign up to our letter and get the news", "Licensed under the Apache License , Version 2.0 ."
+    page = "<nav>menu</nav><article><h1>{}</h1><p>{}</p>{}</article>"
+    stories = [(f"Story {i}", clean(rng, 60)) for i in range(40)]
+
+    def host(name, bodies):
+        return [(f"http://{name}/{i}", b) for i, b in enumerate(bodies)]
+
+    end = f"<p>{notice}</p><p>Share this</p>"
+    copies = [(f"Copy {i}", " ".join([stories[0][1]] * 2), "") for i in range(40)]
+    served = (
+        host("all.example", [page.format(*s, end) for s in stories] + [page.format(*stories[0], end)] * 100)
+        + host("half.example", [page.format(*s, f"<p>{line}</p>" if i % 2 else "") for i, s in enumerate(stories)])
+        + host("few.example", [page.format(*s, end) for s in stories[:10]])
+        + host("copies.example", [page.format(*c) for c in copies])
+        + host("same.example", [page.format(*stories[1], end)] * 50)
+    )
+    df = frame([(i, u, h) for i, (u, h) in enumerate(served)], "page_id bigint, url string, html string")
+    found = {r["url"]: r["text"] for r in html_text.extract_text(df).collect()}
+    assert len(found) == len(served)
+    whole = ["\n".join(s) for s in stories]
+    assert [found[f"http://all.example/{i}"] for i in range(40)] == whole  # no copy counts twice, none keeps it
+    assert all(found[f"http://all.example/{40 + i}"] == whole[0] for i in range(100))
+    assert found["http://half.example/3"] == f"{whole[3]}\n{line}" and found["http://half.example/4"] == whole[4]
+    assert found["http://few.example/3"] == f"{whole[3]}\n{notice}\nShare this"
+    assert found["http://copies.example/3"] == f"{copies[3][0]}\n{copies[3][1]}"
+    assert found["http://same.example/3"] == f"{whole[1]}\n{notice}\nShare this"
+
+
+def test_furniture_of_articles_against_brute_force():
+    rng = np.random.default_rng(3)
+    hits = 0
+    for _ in range(200):
+        common = [" ".join(rng.choice(list("abc"), rng.integers(1, 6))) for _ in range(3)]
+        articles = {
+            tuple(str(rng.choice(common)) if rng.random() < 0.3 else " ".join(rng.choice(list("abcdefgh"), rng.integers(1, 9)))
+                  for _ in range(rng.integers(1, 7)))
+            for _ in range(rng.integers(1, 9))
+        }
+        articles = sorted(map(list, articles))
+        needed = max(2, int(np.ceil(0.4 * len(articles))))
+        marks = brute_cover([" ".join(a).split() for a in articles], 2, 2, 0.4)
+        want = []
+        for a, mark in zip(articles, marks):
+            owner = np.repeat(np.arange(len(a)), [len(b.split()) for b in a])
+            want.append([
+                i for i, b in enumerate(a)
+                if 2 * mark.sum() < len(mark) and mark[owner == i].all() and sum(b in other for other in articles) >= needed
+            ])
+        assert html_text.article_furniture(articles, 2, 2, 0.4) == want
+        hits += any(want)
+    assert hits > 20
+
+
+def test_articles_of_a_large_host_are_dealt_to_shards(frame, monkeypatch):
+    monkeypatch.setattr(html_text, "SHARD_ARTICLES", 40)
+    monkeypatch.setattr(html_text, "KNOWN", 3)  # copies are told apart after the shuffle too
+    sizes, inner = [], html_text.deal_articles
+
+    def deal_articles(read):
+        dealt = inner(read)
+        sizes.extend(dealt.collect())
+        return dealt
+
+    monkeypatch.setattr(html_text, "deal_articles", deal_articles)
+    rng = random.Random(6)
+    stories, notice = [clean(rng, 30) for _ in range(130)], "read more of our news on the front page"
+    rows = [(i, "http://big.example/", f"<article><p>{stories[i % 130]}</p><p>{notice}</p></article>") for i in range(520)]
+    df = frame(rows, "page_id bigint, url string, html string").repartition(4)
+    found = {r["page_id"]: r["text"] for r in html_text.extract_text(df).collect()}
+    assert [tuple(r) for r in sizes] == [("big.example", 2)]  # 130 / 50: shards are not cut below 50 articles
+    assert found == {i: stories[i % 130] for i in range(520)}
+
+
 def test_pages_with_the_same_furniture_are_one_stream(frame, monkeypatch):
     menu = "<nav>one two three four five six seven</nav>"
     rows = [(i, f"http://h.example/{i}", f"{menu}<article>text {i}</article>") for i in range(60)]
