@@ -7,7 +7,7 @@ that begin suffixes of many distinct streams are boilerplate. Every page has its
 
 * What a page marks up as its article is one stream, and markup speaks for it. It loses the blocks that runs on at least
   `ARTICLE_SHARE` of the host's distinct articles cover, such as a notice in plain paragraphs, if the block itself is on as
-  many. An article that such runs cover by half is one of many copies and stays whole.
+  many and most of those say more else: copies of one article, with changes, stay whole.
 * What is outside is another stream. A page without an article keeps the tokens in the open that no run on `MIN_SHARE` of
   the distinct streams covers. Furniture goes.
 
@@ -321,21 +321,24 @@ def article_furniture(
     """For each of the distinct articles, as lists of blocks, the numbers of the blocks that are furniture of the host.
 
     Runs on enough articles cover such a block, and an exact count finds it on as many: common runs can make up a block that
-    is nowhere else.
+    is nowhere else. Articles that are copies of one with changes repeat most of their text, so most of those that hold the
+    block must be covered by less than half. An article that is nothing else keeps it.
     """
     streams = [[b.split() for b in a] for a in articles]
     marks = repeated([[t for b in a for t in b] for a in streams], min_run, min_articles, min_share)
     holders = Counter(b for a in articles for b in set(a))
+    apart = Counter(b for a, m in zip(articles, marks) if 2 * m.sum() < len(m) for b in set(a))
     needed = max(min_articles, int(np.ceil(min_share * len(articles))))
     out = []
     for blocks, tokens, covered in zip(articles, streams, marks):
         found, at = [], 0
-        if 0 < 2 * covered.sum() < len(covered):
-            for i, block in enumerate(tokens):
-                if covered[at : at + len(block)].all() and holders[blocks[i]] >= needed:
+        if covered.any():
+            for i, block in enumerate(blocks):
+                end = at + len(tokens[i])
+                if covered[at:end].all() and holders[block] >= needed and 2 * apart[block] > holders[block]:
                     found.append(i)
-                at += len(block)
-        out.append(found)
+                at = end
+        out.append(found if len(found) < len(blocks) else [])
     return out
 
 
