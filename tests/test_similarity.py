@@ -113,3 +113,21 @@ def test_counts_of_common_pieces_travel_apart(frame, monkeypatch, common):
     found = s.similar_values(table.withColumnRenamed("b", "a"), table, "a", "b", "0.9")
     close = {(a, b) for a in names for b in names if sum(x != y for x, y in zip(a, b)) <= 1}
     assert {(r["own"], r["other"]) for r in found.collect()} == close
+
+
+def test_names_join_reads_every_customer(frame, tmp_path):
+    """Customers of any key, also repeated or null, are held against all others, and the twin asks the same."""
+    import duckdb
+
+    from workload import ORACLES, QUERIES
+
+    names = [f"Customer#{i:09d}" for i in (*range(25), 100, 199, 1199, 987_654_321)] + ["Customer#00000001", "Customer#0000000011", None]
+    rows = list(enumerate(names, 1)) + [(3, names[2]), (None, names[4]), (50, names[7]), (77, names[7])]
+    table = frame(rows, "c_custkey bigint, c_name string")
+    table.write.parquet(f"{tmp_path}/customer.parquet")
+    want = sorted(((a, b) for a, x in rows for b, y in rows if x and y and distance(x, y) <= 1), key=repr)
+    got = sorted((tuple(r) for r in QUERIES["similarity_join_names"](table.sparkSession, str(tmp_path)).collect()), key=repr)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet/*.parquet'")
+    assert got == want
+    assert sorted(con.execute(ORACLES["similarity_join_names"]).fetchall(), key=repr) == want
