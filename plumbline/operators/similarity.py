@@ -4,7 +4,9 @@
 more of them than the most edits any partner may be away. An edit spoils one piece, so of any `edits + 1`
 pieces one stands unchanged in the partner, shifted by no more than the edits allow. Of each text only its `edits + 1`
 rarest pieces are indexed; pieces that many texts share, such as a common beginning, generate no candidates. The
-left side looks up what it has at each possible length, piece and shift.
+left side looks up what it has at each possible length, piece and shift. Where the longer of two texts allows one edit
+only, they meet on what is left of them without one character instead: texts that are numbered without gaps share most
+of their pieces, but meet so only those they are alike to.
 
 *Set similarity* (words, trigrams) is Jaccard's. Tokens are ordered by how rare they are over both sides; two sets that
 are alike share one of their first few tokens.
@@ -40,6 +42,11 @@ def _div(a: Column, b: Column | int) -> Column:
     return F.floor(a / b).cast("int")
 
 
+def _edits(n: Column, num: int, den: int) -> Column:
+    """Edits allowed between two texts of which the longer one has `n` characters."""
+    return _div(n * (den - num), den)
+
+
 def _between(first: Column, last: Column) -> Column:
     """The integers from `first` to `last`; none if there are none (sequence() would count down)."""
     return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
@@ -51,7 +58,7 @@ class _Cut:
     def __init__(self, n: Column, num: int, den: int) -> None:
         self.n = n
         longest = _div(n * den, num)  # the longest partner
-        self.budget = _div(longest * (den - num), den)  # edits to any partner
+        self.budget = _edits(longest, num, den)  # edits to any partner
         self.pieces = F.greatest(self.budget + 1, _div(n, PIECE), F.lit(1))
 
     def piece(self, i: Column) -> tuple[Column, Column]:
@@ -61,6 +68,11 @@ class _Cut:
         return i * base + F.greatest(F.lit(0), i - longer), base + F.when(i >= longer, 1).otherwise(0)
 
 
+def _tasks(df: DataFrame) -> int:
+    """By number: by bytes, AQE would put many rows that are all alike into one sort."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _index(texts: DataFrame, num: int, den: int) -> DataFrame:
     """(other, n, i, piece): the rarest pieces of each text, as many as the edits plus one."""
     cut = _Cut(F.col("n"), num, den)
@@ -81,8 +93,7 @@ def _index(texts: DataFrame, num: int, den: int) -> DataFrame:
     rare = marked.where("often is null").drop("often").hint("merge").join(often.where(F.col("often") <= COMMON), keys)
     counted = marked.where("often is not null").unionByName(rare)
     order = Window.partitionBy("other").orderBy("often", "i")  # no more rows than the text has pieces
-    # By number: by bytes, AQE would put so many of these rows, which are all alike, into one sort.
-    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = _tasks(texts)
     return (
         counted.repartition(tasks, "other")
         .withColumn("place", F.row_number().over(order))
@@ -97,7 +108,7 @@ def _probes(texts: DataFrame, num: int, den: int) -> DataFrame:
 
     def at_length(n: Column) -> Column:
         cut = _Cut(n, num, den)
-        edits = _div(F.greatest(n, m) * (den - num), den)
+        edits = _edits(F.greatest(n, m), num, den)
         shift = m - n
 
         def at_piece(i: Column) -> Column:
@@ -113,20 +124,63 @@ def _probes(texts: DataFrame, num: int, den: int) -> DataFrame:
         return F.flatten(F.transform(F.sequence(F.lit(0), cut.pieces - 1), at_piece))
 
     lengths = _between(F.ceil(m * num / den).cast("int"), _div(m * den, num))
+    lengths = F.filter(lengths, lambda n: _edits(F.greatest(n, m), num, den) > 1)
     found = F.array_distinct(F.flatten(F.transform(lengths, at_length)))
     return texts.withColumn("m", F.length("own")).select("own", F.inline(found))
 
 
+def _without(text: Column, at: Column) -> Column:
+    """The text without its character `at`, from 0; the whole text if `at` is below."""
+    rest = F.concat(F.substring(text, F.lit(1), at), F.substring(text, at + 2, F.length(text)))
+    return F.when(at < 0, text).otherwise(rest)
+
+
+def _less_one(texts: DataFrame, name: str, num: int, den: int) -> DataFrame:
+    """(key, `name`, first, last): texts of at most one edit, whole (first is -1) and without each of their characters.
+
+    The characters of a run leave the same rest: those from `first` to `last` are one row. The key is a hash of the rest.
+    """
+    text, at, n = F.col(name), F.col("at"), F.length(name)
+    edits = _edits(n, num, den)
+    rows = texts.where(edits <= 1).select(
+        name, F.explode(F.sequence(F.lit(-1), F.when(edits == 1, n - 1).otherwise(-1))).alias("at")
+    )
+    letter, tail = F.substring(text, at + 1, F.lit(1)), F.substring(text, at + 1, n)
+    return rows.where((at < 1) | (letter != F.substring(text, at, F.lit(1)))).select(
+        F.xxhash64(_without(text, at)).alias("key"), name, at.alias(f"{name}_first"),
+        F.when(at < 0, n).otherwise(n - 1 - F.length(F.ltrim(tail, letter))).alias(f"{name}_last"),
+    )
+
+
+def _near(own: DataFrame, other: DataFrame, num: int, den: int) -> DataFrame:
+    """(own, other, distance): the pairs of which the longer text allows no more than one edit, each once.
+
+    Two texts are an edit apart if one is a rest of the other, or both leave the same rest without a character at the same
+    place; no two such texts have more than one rest in common.
+    """
+    # As in _index, rows that are many times their bytes in a shuffle are not to be broadcast.
+    tasks = _tasks(own)
+    lefts, rights = (_less_one(side, c, num, den).repartition(tasks, "key") for side, c in ((own, "own"), (other, "other")))
+    met = lefts.hint("merge").join(rights, "key")
+    a, b, a_first, b_first = (F.col(c) for c in ("own", "other", "own_first", "other_first"))
+    at_one_place = (a_first <= F.col("other_last")) & (b_first <= F.col("own_last"))
+    edited = (a != b) & (_without(a, a_first) == _without(b, b_first))
+    same = (a == b) & (a_first < 0) & (b_first < 0)
+    return met.where(at_one_place & (edited | same)).select("own", "other", F.when(a == b, 0).otherwise(1).alias("distance"))
+
+
 def _edit_pairs(own: DataFrame, other: DataFrame, num: int, den: int) -> DataFrame:
     if 2 * num <= den:
         raise ValueError("by edit distance, thresholds must lie above one half")
-    met = _probes(own, num, den).join(_index(other, num, den), ["n", "i", "piece"])
-    distance, longest = F.levenshtein("own", "other"), F.greatest(F.length("own"), F.length("other"))
-    close = met.select("own", "other", distance.alias("distance"), longest.alias("longest")).where(
-        F.col("distance") * den <= F.col("longest") * (den - num)
+    longest = F.greatest(F.length("own"), F.length("other"))
+    far = [side.where(_Cut(F.length(c), num, den).budget > 1) for side, c in ((own, "own"), (other, "other"))]
+    met = _probes(far[0], num, den).join(_index(far[1], num, den), ["n", "i", "piece"])
+    close = met.select("own", "other", F.levenshtein("own", "other").alias("distance")).where(
+        F.col("distance") * den <= longest * (den - num)
     )
-    similarity = F.when(F.col("longest") == 0, F.lit(1.0)).otherwise(1 - F.col("distance") / F.col("longest"))
-    return close.distinct().select("own", "other", similarity.alias("similarity"))
+    pairs = close.distinct().unionByName(_near(own, other, num, den))
+    similarity = F.when(longest == 0, F.lit(1.0)).otherwise(1 - F.col("distance") / longest)
+    return pairs.select("own", "other", similarity.alias("similarity"))
 
 
 def tokens(text: Column, measure: str) -> Column:

@@ -1,5 +1,6 @@
 """Similarity joins against every pair."""
 
+import itertools
 import random
 
 import pytest
@@ -131,3 +132,27 @@ def test_names_join_reads_every_customer(frame, tmp_path):
     con.execute(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet/*.parquet'")
     assert got == want
     assert sorted(con.execute(ORACLES["similarity_join_names"]).fetchall(), key=repr) == want
+
+
+@pytest.mark.parametrize("threshold", [0.7, "0.8", 0.99])
+def test_one_edit_between_all_short_texts(frame, threshold):
+    """Texts of two letters are full of runs: each pair comes once, whichever character is lost, added or changed."""
+    texts = ["".join(t) for n in range(7) for t in itertools.product("a𝄞", repeat=n)]
+    num, den = s._parts(threshold)
+    left, right = frame([(t,) for t in texts], "a string"), frame([(t,) for t in texts if t.count("a") != 3], "b string")
+    want = sorted(
+        (a, b) for a in texts for b in texts
+        if b.count("a") != 3 and distance(a, b) * den <= max(len(a), len(b)) * (den - num)
+    )
+    assert sorted((r["own"], r["other"]) for r in s.similar_values(left, right, "a", "b", threshold).collect()) == want
+
+
+def test_numbered_texts_meet_few_others(frame):
+    """Names numbered without gaps share pieces with a thousand others, and a rest only with those around them."""
+    names = frame([(f"Customer#{i:09d}",) for i in range(5000)], "other string")
+    rests = s._less_one(names, "other", 94, 100)
+    assert rests.groupBy("key").count().agg({"count": "max"}).first()[0] <= 40
+    assert rests.count() <= 5000 * 19
+    near = s._near(names.toDF("own"), names, 94, 100)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "REPARTITION_BY_NUM" in plan
